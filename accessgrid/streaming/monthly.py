@@ -1,18 +1,16 @@
-"""The monthly event rollup as a stream, for stations that arrive over time."""
+"""The monthly event rollup kept up to date while stations arrive.
+
+The batch operator is used as it is.  State is one row per zone and month, the size of the
+result itself, so no watermark is needed to bound it.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from accessgrid.operators.panel import monthly_events
 
-def monthly_event_stream(stations: DataFrame, lateness: str = "62 days") -> DataFrame:
-    """New ports and stations per zone and month from a stream with an ``opened`` timestamp.
 
-    State is one row per zone and open month; the watermark lets closed months go.
-    """
-    return (
-        stations.withWatermark("opened", lateness)
-        .withColumn("month_start", F.trunc("opened", "MM"))
-        .groupBy("zone", "month_start", F.window("opened", "1 day"))
-        .agg(F.sum("dcfc_ports").alias("new_ports"), F.count(F.lit(1)).alias("new_stations"))
-    )
+def monthly_event_stream(stations: DataFrame, mode: str = "update") -> DataStreamWriter:
+    """Writer for the rollup of a station stream; the caller picks sink and checkpoint."""
+    return monthly_events(stations).writeStream.outputMode(mode)
