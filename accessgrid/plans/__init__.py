@@ -6,7 +6,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-FAMILIES = ["stations"]
+FAMILIES = ["stations", "coverage", "context", "sites"]
 
 
 def _merged(name: str) -> dict:

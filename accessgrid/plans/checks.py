@@ -129,7 +129,7 @@ FROM (SELECT c.candidate_id, c.parent_zone, c.region, c.lat, c.lon, coalesce(z.p
              coalesce(z.income, med) <= med AS low_income
       FROM [candidates] c, [risk] z, (SELECT quantile_cont(income, 0.5) AS med FROM [scored_zones]))
 WHERE d <= {k.COVERAGE_MILES}
-GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY candidate_id, parent_zone, region, lat, lon"),
+GROUP BY candidate_id, parent_zone, region, lat, lon""",
     "site_norms": f"""
 SELECT *, distance_reduction / greatest(covered_zones, 1) AS reduction_per_zone,
        {', '.join(
