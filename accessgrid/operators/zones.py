@@ -114,8 +114,8 @@ def prefix_states(df: DataFrame) -> DataFrame:
     """The fixed prefix ranges as rows (prefix, prefix_state)."""
     spark = df.sparkSession
     ranges = spark.createDataFrame(PREFIX_RANGES, "lo int, hi int, prefix_state string")
-    prefix = F.explode(F.sequence("lo", "hi")).cast("string")
-    return ranges.select(F.lpad(prefix, 3, "0").alias("prefix"), "prefix_state")
+    each = ranges.select(F.explode(F.sequence("lo", "hi")).alias("number"), "prefix_state")
+    return each.select(fx.padded_key(F.col("number"), 3).alias("prefix"), "prefix_state")
 
 
 def add_prefix_state(df: DataFrame, zone: str) -> DataFrame:

@@ -140,6 +140,11 @@ ORACLES = {
         "quantile_cont(nearest_miles, 0.5) AS median_miles, quantile_cont(nearest_miles, 0.9) AS p90_miles FROM [covered])",
         "", "min_miles avg_miles max_miles median_miles p90_miles",
     ),
+    "distance_distribution_sketch": pick(
+        "(SELECT min(nearest_miles) AS min_miles, avg(nearest_miles) AS avg_miles, max(nearest_miles) AS max_miles, "
+        "quantile_disc(nearest_miles, 0.5) AS median_miles, quantile_disc(nearest_miles, 0.9) AS p90_miles FROM [covered])",
+        "", "min_miles avg_miles max_miles median_miles p90_miles",
+    ),
     "most_remote_zones": pick(
         "(SELECT zone, state, region, nearest_miles FROM [covered] WHERE is_desert = 1 ORDER BY nearest_miles DESC, zone LIMIT 10)",
         "zone state region", "nearest_miles",
