@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accessgrid.functions import scalars as fx
-from accessgrid.operators.lookup import lookup_left
+from accessgrid.operators.lookup import HOT_SALTS, hot_keys, lookup_left
 from accessgrid.operators.ranking import exact_quantiles, running_totals
 
 
@@ -169,7 +169,11 @@ def average_pair_ranks(known: DataFrame, pairs: DataFrame, a: str, b: str) -> Da
     for column, name in ((a, "_rank_a"), (b, "_rank_b")):
         totals = running_totals(known, column, {"n": F.lit(1)})
         rank = F.col("before_n") + (F.col("n") + 1) / 2
-        out = lookup_left(out, totals.select(column, rank.alias(name)), [column])
+        ranks = totals.select(column, rank.alias(name))
+        # A frequent value meets many values of the other column.
+        partners = pairs.groupBy(column).agg(F.count(F.lit(1)).alias("_pairs"))
+        hot = hot_keys(partners, [column], "_pairs")
+        out = lookup_left(out, ranks, [column], salts=HOT_SALTS, hot=hot)
     return out
 
 

@@ -1,32 +1,66 @@
 """Equi-joins against dimension tables whose keys may be very uneven on the fact side."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SALTS = 8
+HOT_SALTS = 64
+HOT_SHARE = 0.01
 STABLE_TYPES = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.TimestampType)
 
 
+def hot_keys(counts: DataFrame, keys: list[str], count: str, share: float = HOT_SHARE) -> Column:
+    """Hashes of the keys that hold more than ``share`` of all rows, as a scalar subquery.
+
+    ``counts`` has one row per key; at most 1 / share keys can pass.
+    """
+    whole = counts.agg(F.sum(count)).scalar()
+    hot = counts.where(F.col(count) > F.lit(share) * whole)
+    return hot.agg(F.collect_list(F.xxhash64(*keys))).scalar()
+
+
 def lookup_left(
-    fact: DataFrame, dim: DataFrame, keys: list[str], null_safe: bool = False, salts: int = SALTS
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    null_safe: bool = False,
+    salts: int = SALTS,
+    hot: Column | None = None,
 ) -> DataFrame:
     """Left join ``fact`` to ``dim`` on ``keys``; every fact row stays.
 
-    Each fact row takes one of ``salts`` slots by a hash of the row and every dimension row
-    is present in all slots, so one hot key (or all the NULL keys) is spread over ``salts``
-    tasks.  Exact copies of a row share a hash, so the partition the row is read in counts
-    too.  Floating-point columns stay out of the hash: a re-run task must put a row where
-    its first run did.  Broadcast stays the optimizer's choice, by size.
+    Fact rows of a hot key are spread over ``salts`` slots by a hash of the row, and the
+    dimension row is present in all of them, so no task gets a whole hot key.  With ``hot``
+    (see :func:`hot_keys`) only those keys are salted, for dimensions as large as the fact
+    table; without it every key is, for dimensions that are small next to it.  NULL keys,
+    which match nothing, are always spread.
+
+    Exact copies of a row share a hash, so the partition the row is read in counts too.
+    Floating-point columns stay out of the hash: a re-run task must put a row where its
+    first run did.  Broadcast stays the optimizer's choice, by size.
     """
     stable = [f.name for f in fact.schema.fields if isinstance(f.dataType, STABLE_TYPES)]
-    slot = F.pmod(F.xxhash64(*stable) + F.spark_partition_id(), F.lit(salts))
-    left = fact.withColumn("_slot", slot.cast("int"))
+    all_slots = F.sequence(F.lit(0), F.lit(salts - 1))
+    slot = F.pmod(F.xxhash64(*stable) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    slots = all_slots
+    if hot is not None:
+        fact = fact.withColumn("_hot", hot)
+        dim = dim.withColumn("_dim_hot", hot)
+        spread = F.array_contains("_hot", F.xxhash64(*keys))
+        if not null_safe:
+            spread = spread | reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        slot = F.when(spread, slot).otherwise(F.lit(0))
+        is_hot = F.array_contains("_dim_hot", F.xxhash64(*keys))
+        slots = F.when(is_hot, all_slots).otherwise(F.array(F.lit(0)))
+    left = fact.withColumn("_slot", slot).drop("_hot")
     right = dim.select(
         *[F.col(k).alias(f"_dim_{k}") for k in keys],
-        *[c for c in dim.columns if c not in keys],
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_dim_slot"),
+        *[c for c in dim.columns if c not in keys and c != "_dim_hot"],
+        F.explode(slots).alias("_dim_slot"),
     )
     on: Column = F.col("_slot") == F.col("_dim_slot")
     for k in keys:
@@ -35,6 +69,12 @@ def lookup_left(
     return left.join(right, on, "left").drop("_slot", "_dim_slot", *[f"_dim_{k}" for k in keys])
 
 
+def lookup_few(few: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join of a short list to a large dimension: the dimension is cut to its keys first."""
+    wanted = dim.join(few.select(key).distinct(), key, "left_semi").dropDuplicates([key])
+    return few.join(wanted, key, "left")
+
+
 def match_flag(fact: DataFrame, dim: DataFrame, key: str, flag: str = "matched") -> DataFrame:
     """Whether the key exists in the dimension, apart from what its columns hold."""
     known = dim.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))

@@ -6,17 +6,15 @@ range totals give every range its offset.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accessgrid.operators.lookup import lookup_left
+from accessgrid.operators.lookup import HOT_SALTS, hot_keys, lookup_left
 from accessgrid.storage import materialize
 
 DIRECT_ROWS = 200_000
-RANGES = 256
-HASH_PREFIX = 2
+MAX_RANGES = 1024
+HASH_PREFIX = 3
 
 
 def running_totals(
@@ -35,7 +33,8 @@ def running_totals(
     folded = df.where(F.col(value).isNotNull()).groupBy(*groups, value)
     folded = materialize(folded.agg(*[F.sum(w).alias(n) for n, w in weights.items()]))
     order = F.col(value).desc() if descending else F.col(value).asc()
-    if folded.count() <= direct_rows:
+    n_values = folded.count()
+    if n_values <= direct_rows:
         earlier = (
             Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         )
@@ -44,22 +43,19 @@ def running_totals(
             out = out.withColumn(f"before_{n}", F.coalesce(F.sum(n).over(earlier), F.lit(0)))
             out = out.withColumn(f"all_{n}", F.sum(n).over(Window.partitionBy(*groups)))
         return out
-    return _running_totals_by_range(folded, value, list(weights), groups, order, descending)
-
-
-def _null_safe(left: str, right: str, groups: list[str]) -> Column:
-    same = [F.col(f"{left}.{g}").eqNullSafe(F.col(f"{right}.{g}")) for g in groups]
-    return reduce(Column.__and__, same, F.lit(True))
+    ranges = min(MAX_RANGES, n_values // max(direct_rows, 1) + 1)
+    return _running_totals_by_range(folded, value, list(weights), groups, descending, ranges)
 
 
 def _running_totals_by_range(
-    folded: DataFrame, value: str, names: list[str], groups: list[str], order: Column, descending: bool
+    folded: DataFrame, value: str, names: list[str], groups: list[str], descending: bool, ranges: int
 ) -> DataFrame:
     # The cuts are approximate, so they are written down once: every later step must see
-    # the same ones.  One array of at most RANGES cuts per group.
-    steps = [i / RANGES for i in range(1, RANGES)]
+    # the same ones.  One array of fewer than ``ranges`` cuts per group.
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    steps = [i / ranges for i in range(1, ranges)]
     cuts = folded.groupBy(*groups).agg(
-        F.sort_array(F.array_distinct(F.percentile_approx(value, steps, 10 * RANGES))).alias("_cuts")
+        F.array_distinct(F.percentile_approx(value, steps, 10 * ranges)).alias("_cuts")
     )
     cuts = materialize(cuts)
     if groups:
@@ -84,7 +80,7 @@ def _running_totals_by_range(
             f"_start_{n}", F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0))
         ).withColumn(f"all_{n}", F.sum(f"_sum_{n}").over(by_group))
     totals = totals.drop(*[f"_sum_{n}" for n in names])
-    joined = lookup_left(inner, totals, [*groups, "_range"], null_safe=True)
+    joined = lookup_left(inner, totals, [*groups, "_range"], null_safe=True, salts=1)
     for n in names:
         joined = joined.withColumn(f"before_{n}", F.col(f"_in_{n}") + F.col(f"_start_{n}"))
     extra = [f"{p}_{n}" for n in names for p in ("_in", "_start")]
@@ -98,8 +94,10 @@ def average_rank(
     groups = groups or []
     totals = running_totals(df, value, {"n": F.lit(1)}, groups)
     rank = F.col("before_n") + (F.col("n") + 1) / 2
-    ranks = totals.select(*groups, value, (rank / F.col("all_n") if share else rank).alias(out))
-    return lookup_left(df, ranks, [*groups, value], null_safe=True)
+    keys = [*groups, value]
+    ranks = totals.select(*keys, (rank / F.col("all_n") if share else rank).alias(out))
+    hot = hot_keys(totals, keys, "n")
+    return lookup_left(df, ranks, keys, null_safe=True, salts=HOT_SALTS, hot=hot)
 
 
 def exact_quantiles(
@@ -183,7 +181,7 @@ def hash_position(df: DataFrame, key: str, seed: int, groups: list[str], out: st
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
         group_rows.alias("_group_rows"),
     )
-    joined = lookup_left(numbered, starts, [*groups, "_part"], null_safe=True)
+    joined = lookup_left(numbered, starts, [*groups, "_part"], null_safe=True, salts=1)
     return joined.withColumn(out, F.col("_at") + F.col("_start")).drop(
         "_hash", "_part", "_at", "_start"
     )

@@ -11,7 +11,7 @@ from accessgrid.functions.constants import (
     INCOME_BANDS,
     UNKNOWN_LABEL,
 )
-from accessgrid.operators.lookup import lookup_left
+from accessgrid.operators.lookup import lookup_few
 from accessgrid.operators.ranking import exact_quantiles
 
 STATUSES = [DESERT_LABEL, ADEQUATE_LABEL, UNKNOWN_LABEL]
@@ -176,7 +176,7 @@ def regional_priority(
         (counted(F.col("_urgent")) / n).alias("priority_rate"),
     )
     parents = df.select(F.col("zone").alias("parent_zone"), F.col("region").alias("_site_region"))
-    per_region = lookup_left(sites.select("parent_zone"), parents.dropDuplicates(["parent_zone"]), ["parent_zone"])
+    per_region = lookup_few(sites.select("parent_zone"), parents, "parent_zone")
     per_region = per_region.groupBy(F.col("_site_region").alias("region"))
     per_region = per_region.agg(F.count(F.lit(1)).alias("recommended_sites"))
     out = out.join(per_region, "region", "left").fillna(0, subset=["recommended_sites"])

@@ -25,7 +25,7 @@ from accessgrid.functions.geodesy import (
     point_segment_distance,
     unit_vector,
 )
-from accessgrid.operators.lookup import lookup_left
+from accessgrid.operators.lookup import HOT_SALTS, hot_keys, lookup_left
 from accessgrid.storage import materialize
 
 MAX_LEVEL = 24
@@ -203,12 +203,13 @@ def _meet(leaf_pairs: DataFrame, queries: DataFrame, targets: DataFrame, dims: i
 
 
 def _coordinates(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Distinct usable coordinates."""
+    """Distinct usable coordinates and how many rows have them."""
     return (
         df.select(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon"))
         .where(F.col("q_lat").isNotNull() & F.col("q_lon").isNotNull())
         .where(~F.isnan("q_lat") & ~F.isnan("q_lon"))
-        .distinct()
+        .groupBy("q_lat", "q_lon")
+        .agg(F.count(F.lit(1)).alias("q_rows"))
     )
 
 
@@ -218,9 +219,16 @@ def _finest(queries: DataFrame, targets: DataFrame) -> tuple[Grid, DataFrame, Da
     return grid, _leaf_cells(queries, grid), _leaf_cells(targets, grid)
 
 
-def _attach(df: DataFrame, found: DataFrame, lat: str, lon: str) -> DataFrame:
+def attach_by_place(
+    df: DataFrame, found: DataFrame, places: DataFrame | None = None, lat: str = "lat", lon: str = "lon"
+) -> DataFrame:
     """Per-coordinate results back on the rows; rows without coordinates get NULL."""
-    return lookup_left(df, found.withColumnsRenamed({"q_lat": lat, "q_lon": lon}), [lat, lon])
+    names = {"q_lat": lat, "q_lon": lon}
+    places = _coordinates(df, lat, lon) if places is None else places
+    hot = hot_keys(places.withColumnsRenamed(names), [lat, lon], "q_rows")
+    return lookup_left(
+        df, found.withColumnsRenamed(names), [lat, lon], salts=HOT_SALTS, hot=hot
+    )
 
 
 def nearest_point(
@@ -253,7 +261,7 @@ def nearest_point(
         .agg(F.min("hit").alias("hit"))
         .select("q_lat", "q_lon", F.col("hit.d").alias(distance), F.col("hit.t_id").alias(nearest))
     )
-    return _attach(df, best, lat, lon)
+    return attach_by_place(df, best, queries, lat, lon)
 
 
 def nearest_neighbours(
@@ -299,9 +307,10 @@ def neighbour_spread(
     out: str = "ruggedness",
 ) -> DataFrame:
     """Population standard deviation of ``value`` over the k nearest rows with a value."""
-    near = nearest_neighbours(df.where(F.col(value).isNotNull()), key, k, [value], lat, lon)
+    valued = df.where(F.col(value).isNotNull())
+    near = nearest_neighbours(valued, key, k, [value], lat, lon)
     spread = near.groupBy("q_lat", "q_lon").agg(F.stddev_pop(value).alias(out))
-    spread = _attach(df, spread, lat, lon)
+    spread = attach_by_place(df, spread, None, lat, lon)
     return spread.withColumn(out, F.when(F.col(value).isNotNull(), F.col(out)))
 
 
@@ -319,7 +328,7 @@ def nearest_segment(
     only; the distance itself is taken to the whole segment.
     """
     x, y = albers_xy(F.col("q_lat"), F.col("q_lon"))
-    queries = _coordinates(df, lat, lon).select("q_lat", "q_lon", x.alias("qx"), y.alias("qy"))
+    queries = _coordinates(df, lat, lon).select("q_lat", "q_lon", "q_rows", x.alias("qx"), y.alias("qy"))
     queries = _with_axes(queries, [F.col("qx"), F.col("qy")])
     (x1, y1), (x2, y2) = (albers_xy(F.col(f"lat{i}"), F.col(f"lon{i}")) for i in (1, 2))
     ends = segments.select(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2")).dropna()
@@ -354,7 +363,7 @@ def nearest_segment(
     pairs = _meet(leaf, queries, targets, len(grid.low))
     metres = point_segment_distance(*[F.col(c) for c in ("qx", "qy", "x1", "y1", "x2", "y2")])
     best = pairs.groupBy("q_lat", "q_lon").agg((F.min(metres) / METERS_PER_MILE).alias(out))
-    return _attach(df, best, lat, lon)
+    return attach_by_place(df, best, queries, lat, lon)
 
 
 def _radius_states(

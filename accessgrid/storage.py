@@ -42,8 +42,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Used where a table feeds several jobs, or where a later step must see exactly the
     rows an earlier one saw.  The table outlives lost executors, and its size is known
-    to the optimizer when it picks join strategies.
+    to the optimizer when it picks join strategies.  It goes when the application ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/accessgrid/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/accessgrid/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+    return spark.read.schema(df.schema).parquet(path)
