@@ -19,15 +19,23 @@ ALBERS_ORIGIN_LAT = 23.0
 ALBERS_ORIGIN_LON = -96.0
 
 
-def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle miles; NULL when any coordinate is NULL."""
+def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Haversine of the central angle, 0..1; grows with the distance."""
     half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
-    a = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    bounded = F.when(a > 1, F.lit(1.0)).otherwise(a)
+    return half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
+
+
+def miles_of_haversine(h: Column) -> Column:
+    bounded = F.when(h > 1, F.lit(1.0)).otherwise(h)
     return F.lit(2 * EARTH_RADIUS_MILES) * F.asin(F.sqrt(bounded))
 
 
+def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Great-circle miles; NULL when any coordinate is NULL."""
+    return miles_of_haversine(haversine(lat1, lon1, lat2, lon2))
+
+
 def unit_vector(lat: Column, lon: Column) -> list[Column]:
     """Point on the unit sphere; straight-line distance there grows with haversine distance."""
     phi, lam = F.radians(lat), F.radians(lon)

@@ -21,7 +21,8 @@ from accessgrid.functions.geodesy import (
     METERS_PER_MILE,
     albers_xy,
     chord_of_miles,
-    haversine_miles,
+    haversine,
+    miles_of_haversine,
     point_segment_distance,
     unit_vector,
 )
@@ -32,7 +33,7 @@ MAX_LEVEL = 24
 FIRST_LEVEL = 3
 LEVEL_STEP = 2
 QUERY_CELL_POINTS = 4096
-TARGET_CELL_POINTS = 32
+TARGET_CELL_POINTS = 8
 RELATIVE_SLACK = 1e-7
 
 
@@ -71,26 +72,24 @@ def _cell_columns(grid: Grid, axes: list[str], level: int) -> list[Column]:
     ]
 
 
-def _fullest_cell(df: DataFrame, grid: Grid, axes: list[str], level: int) -> int:
+def _fullest_cells(sides: list[DataFrame], grid: Grid, axes: list[str], level: int) -> list[int]:
+    """Points in the fullest cell of each side, from one job."""
     cells = _cell_columns(grid, axes, level)
-    row = df.groupBy(*cells).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
+    fullest = [
+        df.groupBy(*cells).count().agg(F.lit(i).alias("side"), F.max("count").alias("m"))
+        for i, df in enumerate(sides)
+    ]
+    found = reduce(DataFrame.unionByName, fullest).collect()
+    return [r["m"] or 0 for r in sorted(found, key=lambda r: r["side"])]
 
 
 def fit_grid(sides: list[tuple[DataFrame, int]]) -> Grid:
     """Root box of all sides and a level at which no cell is over its side's point limit."""
-    axes = _axes(sides[0][0])
-    bounds = reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(
-                F.count(F.lit(1)).alias("n"),
-                *[F.min(a).alias(f"lo{a}") for a in axes],
-                *[F.max(a).alias(f"hi{a}") for a in axes],
-            )
-            for df, _ in sides
-        ],
-    ).collect()
+    frames, limits = [df for df, _ in sides], [limit for _, limit in sides]
+    axes = _axes(frames[0])
+    ends = [f(a).alias(n + a) for a in axes for f, n in ((F.min, "lo"), (F.max, "hi"))]
+    bounds = [df.agg(F.lit(i).alias("side"), F.count(F.lit(1)).alias("n"), *ends) for i, df in enumerate(frames)]
+    bounds = sorted(reduce(DataFrame.unionByName, bounds).collect(), key=lambda b: b["side"])
     filled = [b for b in bounds if b["n"]]
     if not filled:
         return Grid(tuple(0.0 for _ in axes), 1.0, 0)
@@ -98,16 +97,12 @@ def fit_grid(sides: list[tuple[DataFrame, int]]) -> Grid:
     high = tuple(max(b[f"hi{a}"] for b in filled) for a in axes)
     extent = max(max(h - lo for h, lo in zip(high, low)), 1e-12) * (1 + 1e-9)
     grid = Grid(low, extent, 0)
-    level = 0
-    for (df, limit), n in zip(sides, [b["n"] for b in bounds]):
-        if n <= limit:
-            continue
-        level = max(level, math.ceil(math.log(n / limit, 4)))
-        while level < MAX_LEVEL:
-            fullest = _fullest_cell(df, grid, axes, level)
-            if fullest <= limit:
-                break
-            level = min(MAX_LEVEL, level + max(1, math.ceil(math.log(fullest / limit, 4))))
+    level, fullest = 0, [b["n"] for b in bounds]
+    # Points spread over a surface, so one level more holds about a quarter of them.
+    while level < MAX_LEVEL and any(f > limit for f, limit in zip(fullest, limits)):
+        over = max(f / limit for f, limit in zip(fullest, limits))
+        level = min(MAX_LEVEL, level + max(1, math.ceil(math.log(over, 4))))
+        fullest = _fullest_cells(frames, grid, axes, level)
     return Grid(low, extent, level)
 
 
@@ -161,7 +156,7 @@ def _next_pairs(
             *[F.col(f"q{i}").alias(pq[i]) for i in range(dims)],
             *[F.col(f"t{i}").alias(pt[i]) for i in range(dims)],
         )
-        pairs = renamed.join(q, pq).join(t, pt)
+        pairs = _spread_out(renamed, pq).join(q, pq).join(t, pt)
     low, high = _pair_bounds(grid, level, dims, pad)
     return pairs.drop(*pq, *pt).select("*", low.alias("low"), high.alias("high"))
 
@@ -177,6 +172,8 @@ def _nearest_leaf_pairs(
         pairs = _next_pairs(
             pairs, queries, targets, grid, level, previous, [F.count(F.lit(1)).alias("n")], pad
         )
+        if level == grid.level:
+            pairs = _spread_out(pairs, q_key)  # the window below needs no other shuffle
         by_cell = Window.partitionBy(*q_key)
         if k == 1:
             reach = F.min("high").over(by_cell)
@@ -195,6 +192,15 @@ def _nearest_leaf_pairs(
     return pairs
 
 
+def _spread_out(pairs: DataFrame, q_key: list[str]) -> DataFrame:
+    """Cell pairs in as many partitions as the session shuffles to.
+
+    A pair of finest cells is a few bytes that become many rows, so their size must not
+    decide how many tasks there are.
+    """
+    return pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *q_key)
+
+
 def _meet(leaf_pairs: DataFrame, queries: DataFrame, targets: DataFrame, dims: int) -> DataFrame:
     """Points of both sides that share a finest cell pair."""
     q = queries.withColumnsRenamed({f"_c{i}": f"q{i}" for i in range(dims)})
@@ -219,6 +225,10 @@ def _finest(queries: DataFrame, targets: DataFrame) -> tuple[Grid, DataFrame, Da
     return grid, _leaf_cells(queries, grid), _leaf_cells(targets, grid)
 
 
+def _haversine_of_pair() -> Column:
+    return haversine(F.col("q_lat"), F.col("q_lon"), F.col("t_lat"), F.col("t_lon"))
+
+
 def attach_by_place(
     df: DataFrame, found: DataFrame, places: DataFrame | None = None, lat: str = "lat", lon: str = "lon"
 ) -> DataFrame:
@@ -254,12 +264,19 @@ def nearest_point(
     targets = _with_axes(targets, unit_vector(F.col("t_lat"), F.col("t_lon")))
     grid, queries, targets = _finest(queries, targets)
     pairs = _meet(_nearest_leaf_pairs(queries, targets, grid, 1), queries, targets, len(grid.low))
-    miles = haversine_miles(F.col("q_lat"), F.col("q_lon"), F.col("t_lat"), F.col("t_lon"))
+    # The smallest haversine is the smallest distance; the arc is taken of the winner only.
     best = (
-        pairs.select("q_lat", "q_lon", F.struct(miles.alias("d"), "t_id").alias("hit"))
+        pairs.select(
+            "q_lat", "q_lon", F.struct(_haversine_of_pair().alias("h"), "t_id").alias("hit")
+        )
         .groupBy("q_lat", "q_lon")
         .agg(F.min("hit").alias("hit"))
-        .select("q_lat", "q_lon", F.col("hit.d").alias(distance), F.col("hit.t_id").alias(nearest))
+        .select(
+            "q_lat",
+            "q_lon",
+            miles_of_haversine(F.col("hit.h")).alias(distance),
+            F.col("hit.t_id").alias(nearest),
+        )
     )
     return attach_by_place(df, best, queries, lat, lon)
 
@@ -411,7 +428,8 @@ def pairs_within(
     grid, c, p = _finest(c, p)
     none = [F.count(F.lit(1)).alias("n")]
     _, leaf = _radius_states(c, p, grid, miles, none, F.lit(False))
-    d = haversine_miles(F.col("q_lat"), F.col("q_lon"), F.col("t_lat"), F.col("t_lon"))
+    d = miles_of_haversine(_haversine_of_pair())
+    leaf = _spread_out(leaf, [f"q{i}" for i in range(len(grid.low))])
     met = _meet(leaf, c, p, len(grid.low)).select(center_id, point_id, d.alias("miles"))
     return met.where(F.col("miles") <= miles)
 
@@ -453,9 +471,9 @@ def coverage_totals(
     shortest = F.col("low") * F.lit(EARTH_RADIUS_MILES * (1 - RELATIVE_SLACK))
     settled = F.col("_need") <= shortest
     covers, leaf = _radius_states(c, p, grid, miles, [*measures, F.max("_need").alias("_need")], settled)
-    d = haversine_miles(F.col("q_lat"), F.col("q_lon"), F.col("t_lat"), F.col("t_lon"))
+    d = miles_of_haversine(_haversine_of_pair())
     rim = (
-        _meet(leaf, c, p, dims)
+        _meet(_spread_out(leaf, [f"q{i}" for i in range(dims)]), c, p, dims)
         .withColumn("_d", d)
         .where(F.col("_d") <= miles)
         .groupBy("q_lat", "q_lon")
