@@ -5,12 +5,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SALTS = 8
 HOT_SALTS = 64
 HOT_SHARE = 0.01
-STABLE_TYPES = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.TimestampType)
 
 
 def hot_keys(counts: DataFrame, keys: list[str], count: str, share: float = HOT_SHARE) -> Column:
@@ -23,6 +21,19 @@ def hot_keys(counts: DataFrame, keys: list[str], count: str, share: float = HOT_
     return hot.agg(F.collect_list(F.xxhash64(*keys))).scalar()
 
 
+def lookup_small(fact: DataFrame, dim: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """Left join to a dimension of a few rows (states, regions), which goes out by broadcast.
+
+    The size check is the optimizer's; nothing is forced.
+    """
+    if not null_safe:
+        return fact.join(dim, keys, "left")
+    renamed = dim.withColumnsRenamed({k: f"_dim_{k}" for k in keys})
+    same = [fact[k].eqNullSafe(renamed[f"_dim_{k}"]) for k in keys]
+    joined = fact.join(renamed, reduce(Column.__and__, same), "left")
+    return joined.drop(*[f"_dim_{k}" for k in keys])
+
+
 def lookup_left(
     fact: DataFrame,
     dim: DataFrame,
@@ -33,19 +44,17 @@ def lookup_left(
 ) -> DataFrame:
     """Left join ``fact`` to ``dim`` on ``keys``; every fact row stays.
 
-    Fact rows of a hot key are spread over ``salts`` slots by a hash of the row, and the
-    dimension row is present in all of them, so no task gets a whole hot key.  With ``hot``
-    (see :func:`hot_keys`) only those keys are salted, for dimensions as large as the fact
-    table; without it every key is, for dimensions that are small next to it.  NULL keys,
-    which match nothing, are always spread.
+    Fact rows of a hot key are spread over ``salts`` slots by the partition they are read
+    in, and the dimension row is present in all slots, so no task gets a whole hot key.
+    With ``hot`` (see :func:`hot_keys`) only those keys are salted, for dimensions as large
+    as the fact table; without it every key is, for dimensions that are small next to it.
+    NULL keys, which match nothing, are always spread.
 
-    Exact copies of a row share a hash, so the partition the row is read in counts too.
-    Floating-point columns stay out of the hash: a re-run task must put a row where its
-    first run did.  Broadcast stays the optimizer's choice, by size.
+    The partition number is the same when a task runs again, so a lost executor does not
+    move rows between slots, and it keeps no column in the scan that nobody asked for.
     """
-    stable = [f.name for f in fact.schema.fields if isinstance(f.dataType, STABLE_TYPES)]
     all_slots = F.sequence(F.lit(0), F.lit(salts - 1))
-    slot = F.pmod(F.xxhash64(*stable) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    slot = F.pmod(F.spark_partition_id(), F.lit(salts))
     slots = all_slots
     if hot is not None:
         fact = fact.withColumn("_hot", hot)
@@ -58,15 +67,9 @@ def lookup_left(
         slots = F.when(is_hot, all_slots).otherwise(F.array(F.lit(0)))
     left = fact.withColumn("_slot", slot).drop("_hot")
     right = dim.select(
-        *[F.col(k).alias(f"_dim_{k}") for k in keys],
-        *[c for c in dim.columns if c not in keys and c != "_dim_hot"],
-        F.explode(slots).alias("_dim_slot"),
+        *[c for c in dim.columns if c != "_dim_hot"], F.explode(slots).alias("_slot")
     )
-    on: Column = F.col("_slot") == F.col("_dim_slot")
-    for k in keys:
-        same = left[k].eqNullSafe(right[f"_dim_{k}"]) if null_safe else left[k] == right[f"_dim_{k}"]
-        on = on & same
-    return left.join(right, on, "left").drop("_slot", "_dim_slot", *[f"_dim_{k}" for k in keys])
+    return lookup_small(left, right, [*keys, "_slot"], null_safe).drop("_slot")
 
 
 def lookup_few(few: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accessgrid.operators.lookup import HOT_SALTS, hot_keys, lookup_left
+from accessgrid.operators.lookup import HOT_SALTS, hot_keys, lookup_left, lookup_small
 from accessgrid.storage import materialize
 
 DIRECT_ROWS = 200_000
@@ -59,7 +59,7 @@ def _running_totals_by_range(
     )
     cuts = materialize(cuts)
     if groups:
-        ranged = lookup_left(folded, cuts, groups, null_safe=True)
+        ranged = lookup_small(folded, cuts, groups, null_safe=True)
     else:
         ranged = folded.withColumn("_cuts", cuts.scalar())
     below = F.size(F.filter("_cuts", lambda c: c <= F.col(value)))
@@ -80,7 +80,7 @@ def _running_totals_by_range(
             f"_start_{n}", F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0))
         ).withColumn(f"all_{n}", F.sum(f"_sum_{n}").over(by_group))
     totals = totals.drop(*[f"_sum_{n}" for n in names])
-    joined = lookup_left(inner, totals, [*groups, "_range"], null_safe=True, salts=1)
+    joined = lookup_small(inner, totals, [*groups, "_range"], null_safe=True)
     for n in names:
         joined = joined.withColumn(f"before_{n}", F.col(f"_in_{n}") + F.col(f"_start_{n}"))
     extra = [f"{p}_{n}" for n in names for p in ("_in", "_start")]
@@ -181,7 +181,7 @@ def hash_position(df: DataFrame, key: str, seed: int, groups: list[str], out: st
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
         group_rows.alias("_group_rows"),
     )
-    joined = lookup_left(numbered, starts, [*groups, "_part"], null_safe=True, salts=1)
+    joined = lookup_small(numbered, starts, [*groups, "_part"], null_safe=True)
     return joined.withColumn(out, F.col("_at") + F.col("_start")).drop(
         "_hash", "_part", "_at", "_start"
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accessgrid.operators.lookup import lookup_left
+from accessgrid.operators.lookup import lookup_small
 from accessgrid.operators.ranking import hash_position, seeded_hash
 
 MAX_SEEDS = 200
@@ -32,7 +32,7 @@ def holdout_states(df: DataFrame, per_region: int, seed: int | Column = 0) -> Da
 def spatial_scope(df: DataFrame, held_out: DataFrame, out: str = "scope") -> DataFrame:
     """Rows of held-out states are 'test', the others 'train_side'."""
     marks = held_out.select("state").distinct().withColumn(out, F.lit("test"))
-    marked = lookup_left(df, marks, ["state"])
+    marked = lookup_small(df, marks, ["state"])
     return marked.withColumn(out, F.coalesce(F.col(out), F.lit("train_side")))
 
 

@@ -16,7 +16,7 @@ from accessgrid.functions.constants import (
     RURAL_PEOPLE_PER_KM2,
     UNKNOWN_LABEL,
 )
-from accessgrid.operators.lookup import lookup_left
+from accessgrid.operators.lookup import lookup_small
 from accessgrid.operators.ranking import exact_quantiles
 
 ROLLUP_COUNTS = [
@@ -90,7 +90,7 @@ def standard_region(df: DataFrame, state_region: DataFrame | None, out: str = "r
     if state is None or state_region is None:
         raise ValueError("no region and no state to look it up by")
     dim = state_region.select(F.col("state").alias(state), fx.title_text(F.col("region")).alias(out))
-    joined = lookup_left(df, dim, [state])
+    joined = lookup_small(df, dim, [state])
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(UNKNOWN_LABEL)))
 
 
@@ -164,8 +164,8 @@ def group_statistics(df: DataFrame, key: str, prefix: str) -> DataFrame:
 
 def add_group_statistics(df: DataFrame) -> DataFrame:
     """State and region statistics joined back to the rows."""
-    with_state = lookup_left(df, group_statistics(df, "state", "state"), ["state"], null_safe=True)
-    return lookup_left(
+    with_state = lookup_small(df, group_statistics(df, "state", "state"), ["state"], null_safe=True)
+    return lookup_small(
         with_state, group_statistics(df, "region", "region"), ["region"], null_safe=True
     )
 
@@ -205,11 +205,11 @@ def zone_features(
             sources[c].append(F.col(f"_zone_{c}"))
     if state_terrain is not None:
         dim = state_terrain.select("state", *[F.col(c).alias(f"_state_{c}") for c in terrain])
-        out = lookup_left(out, dim, ["state"])
+        out = lookup_small(out, dim, ["state"])
         for c in terrain:
             sources[c].append(F.col(f"_state_{c}"))
     for c in terrain:
         value = F.coalesce(*sources[c]) if sources[c] else F.lit(None).cast("double")
         out = out.withColumn(c, value)
     out = out.drop(*[f"_{p}_{c}" for p in ("zone", "state") for c in terrain])
-    return lookup_left(out, weather, ["state"])
+    return lookup_small(out, weather, ["state"])

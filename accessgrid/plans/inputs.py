@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accessgrid.operators import cleaning, panel, siting, zones
-from accessgrid.operators.lookup import lookup_left
+from accessgrid.operators.lookup import lookup_small
 from accessgrid.operators.spatial import nearest_point
 from accessgrid.sources.tables import table
 from accessgrid.storage import materialize
@@ -26,12 +26,14 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
-def cleaned_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean stations with features and region, out-of-scope state removed."""
+def cleaned_stations(spark: SparkSession, sf_dir: str, with_region: bool = False) -> DataFrame:
+    """Clean stations with features (and region), out-of-scope state removed."""
     stations = cleaning.clean_stations(table(spark, sf_dir, "stations_raw"))
+    stations = cleaning.exclude_value(stations, "state", EXCLUDED_STATE)
     stations = cleaning.add_station_features(stations)
-    stations = lookup_left(stations, table(spark, sf_dir, "state_regions"), ["state"])
-    return cleaning.exclude_value(stations, "state", EXCLUDED_STATE)
+    if not with_region:
+        return stations
+    return lookup_small(stations, table(spark, sf_dir, "state_regions"), ["state"])
 
 
 def covered_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +61,7 @@ def scored_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = covered_zones(spark, sf_dir).withColumn("predicted_miles", F.col("elevation_m") / 30)
     base = base.withColumn("residual_miles", F.col("nearest_miles") - F.col("predicted_miles"))
     weather = zones.weather_by_state(table(spark, sf_dir, "weather_daily"))
-    base = lookup_left(base, weather, ["state"])
+    base = lookup_small(base, weather, ["state"])
     return materialize(base.join(latest_forecast(spark, sf_dir), "zone", "left"))
 
 

@@ -73,7 +73,7 @@ def clean_stations(spark, sf_dir):
 
 
 def station_features(spark, sf_dir):
-    return cleaned_stations(spark, sf_dir).select(
+    return cleaned_stations(spark, sf_dir, with_region=True).select(
         "id", "total_ports", "charger_level", "is_dcfc", "state", "region"
     )
 
@@ -116,12 +116,16 @@ def join_match_review(spark, sf_dir):
 
 
 def zone_station_rollup(spark, sf_dir):
-    out = zones.station_rollup(cleaned_stations(spark, sf_dir), ["zip", "state", "region"])
+    out = zones.station_rollup(
+        cleaned_stations(spark, sf_dir, with_region=True), ["zip", "state", "region"]
+    )
     return rounded(out)
 
 
 def _full(spark, sf_dir):
-    rollup = zones.station_rollup(cleaned_stations(spark, sf_dir), ["zip", "state", "region"])
+    rollup = zones.station_rollup(
+        cleaned_stations(spark, sf_dir, with_region=True), ["zip", "state", "region"]
+    )
     base = table(spark, sf_dir, "zones").select("zone", "population", "income", "lat", "lon")
     return zones.full_coverage(base, rollup, "zone", "zip")
 
