@@ -34,6 +34,7 @@ FIRST_LEVEL = 3
 LEVEL_STEP = 2
 QUERY_CELL_POINTS = 4096
 TARGET_CELL_POINTS = 8
+CANDIDATES_PER_ROW = 512
 RELATIVE_SLACK = 1e-7
 
 
@@ -161,12 +162,18 @@ def _next_pairs(
     return pairs.drop(*pq, *pt).select("*", low.alias("low"), high.alias("high"))
 
 
-def _nearest_leaf_pairs(
-    queries: DataFrame, targets: DataFrame, grid: Grid, k: int, pad: float = 0.0
+def _nearest_candidates(
+    queries: DataFrame, targets: DataFrame, grid: Grid, k: int, payload: list[str], pad: float = 0.0
 ) -> DataFrame:
-    """Finest cell pairs that can hold one of the k nearest targets of some query point."""
+    """Query points with all targets that can be among their k nearest, as arrays.
+
+    Returns the query columns and ``near``, an array of target structs.  A finest cell's
+    targets travel as one short array, and the arrays a query cell needs are put together
+    once for all its points, so no (point, target) rows are shuffled.  Where a query cell
+    needs many targets they come in several rows of about ``CANDIDATES_PER_ROW`` each.
+    """
     dims = len(grid.low)
-    q_key = [f"q{i}" for i in range(dims)]
+    q_key, t_key = [f"q{i}" for i in range(dims)], [f"t{i}" for i in range(dims)]
     pairs, previous = None, 0
     for level in grid.levels():
         pairs = _next_pairs(
@@ -175,21 +182,25 @@ def _nearest_leaf_pairs(
         if level == grid.level:
             pairs = _spread_out(pairs, q_key)  # the window below needs no other shuffle
         by_cell = Window.partitionBy(*q_key)
-        if k == 1:
-            reach = F.min("high").over(by_cell)
-        else:
-            # Enough targets lie within the first radius whose cells hold k of them.
-            nearer = by_cell.orderBy("high").rangeBetween(
-                Window.unboundedPreceding, Window.currentRow
-            )
-            pairs = pairs.withColumn("held", F.sum("n").over(nearer))
-            reach = F.min(F.when(F.col("held") >= k, F.col("high"))).over(by_cell)
-        pairs = pairs.withColumn("reach", reach).where(
+        nearer = by_cell.orderBy("high").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        # The first distance within which cells hold k targets bounds the k-th nearest.
+        pairs = pairs.withColumn("held", F.sum("n").over(nearer))
+        pairs = pairs.withColumn("reach", F.min(F.when(F.col("held") >= k, F.col("high"))).over(by_cell))
+        pairs = pairs.where(
             F.col("reach").isNull() | (F.col("low") <= F.col("reach") * (1 + RELATIVE_SLACK))
         )
-        pairs = pairs.select(*q_key, *[f"t{i}" for i in range(dims)])
+        if level == grid.level:
+            before = by_cell.orderBy("low", *t_key).rowsBetween(Window.unboundedPreceding, -1)
+            row = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / CANDIDATES_PER_ROW)
+            pairs = pairs.withColumn("near_row", row)
+        pairs = pairs.drop("high", "held", "reach", "q_n", "n", "low")
         previous = level
-    return pairs
+    t_cells = targets.withColumnsRenamed({f"_c{i}": c for i, c in enumerate(t_key)})
+    t_cells = t_cells.groupBy(*t_key).agg(F.collect_list(F.struct(*payload)).alias("cell"))
+    near = pairs.join(t_cells, t_key).groupBy(*q_key, "near_row")
+    near = near.agg(F.flatten(F.collect_list("cell")).alias("near"))
+    points = queries.withColumnsRenamed({f"_c{i}": c for i, c in enumerate(q_key)})
+    return points.join(near, q_key).drop(*q_key, "near_row")
 
 
 def _spread_out(pairs: DataFrame, q_key: list[str]) -> DataFrame:
@@ -263,12 +274,17 @@ def nearest_point(
     )
     targets = _with_axes(targets, unit_vector(F.col("t_lat"), F.col("t_lon")))
     grid, queries, targets = _finest(queries, targets)
-    pairs = _meet(_nearest_leaf_pairs(queries, targets, grid, 1), queries, targets, len(grid.low))
+    near = _nearest_candidates(queries, targets, grid, 1, ["t_lat", "t_lon", "t_id"])
     # The smallest haversine is the smallest distance; the arc is taken of the winner only.
+    hits = F.transform(
+        "near",
+        lambda t: F.struct(
+            haversine(F.col("q_lat"), F.col("q_lon"), t["t_lat"], t["t_lon"]).alias("h"),
+            t["t_id"].alias("t_id"),
+        ),
+    )
     best = (
-        pairs.select(
-            "q_lat", "q_lon", F.struct(_haversine_of_pair().alias("h"), "t_id").alias("hit")
-        )
+        near.select("q_lat", "q_lon", F.array_min(hits).alias("hit"))
         .groupBy("q_lat", "q_lon")
         .agg(F.min("hit").alias("hit"))
         .select(
@@ -304,11 +320,20 @@ def nearest_neighbours(
     )
     targets = _with_axes(targets, [F.col("t_lat"), F.col("t_lon")])
     grid, queries, targets = _finest(queries, targets)
-    pairs = _meet(_nearest_leaf_pairs(queries, targets, grid, k), queries, targets, len(grid.low))
-    d_lat, d_lon = F.col("q_lat") - F.col("t_lat"), F.col("q_lon") - F.col("t_lon")
+    near = _nearest_candidates(queries, targets, grid, k, ["t_lat", "t_lon", key, *payload])
+
+    def neighbour(t: Column) -> Column:
+        d_lat, d_lon = F.col("q_lat") - t["t_lat"], F.col("q_lon") - t["t_lon"]
+        square = d_lat * d_lat + d_lon * d_lon
+        return F.struct(
+            square.alias("distance2"), t[key].alias(key), *[t[c].alias(c) for c in payload]
+        )
+
+    first = F.slice(F.array_sort(F.transform("near", neighbour)), 1, k)
     ranked = Window.partitionBy("q_lat", "q_lon").orderBy("distance2", key)
     return (
-        pairs.select("q_lat", "q_lon", key, *payload, (d_lat * d_lat + d_lon * d_lon).alias("distance2"))
+        near.select("q_lat", "q_lon", F.explode(first).alias("hit"))
+        .select("q_lat", "q_lon", "hit.*")
         .withColumn("position", F.row_number().over(ranked))
         .where(F.col("position") <= k)
     )
@@ -376,10 +401,17 @@ def nearest_segment(
         ],
     ).drop("pieces", "i", "mid")
     grid, queries, targets = _finest(queries, targets)
-    leaf = _nearest_leaf_pairs(queries, targets, grid, 1, pad=piece / 2 * (1 + RELATIVE_SLACK))
-    pairs = _meet(leaf, queries, targets, len(grid.low))
-    metres = point_segment_distance(*[F.col(c) for c in ("qx", "qy", "x1", "y1", "x2", "y2")])
-    best = pairs.groupBy("q_lat", "q_lon").agg((F.min(metres) / METERS_PER_MILE).alias(out))
+    near = _nearest_candidates(
+        queries, targets, grid, 1, ["x1", "y1", "x2", "y2"], pad=piece / 2 * (1 + RELATIVE_SLACK)
+    )
+    metres = F.transform(
+        "near",
+        lambda t: point_segment_distance(
+            F.col("qx"), F.col("qy"), t["x1"], t["y1"], t["x2"], t["y2"]
+        ),
+    )
+    best = near.select("q_lat", "q_lon", F.array_min(metres).alias("m")).groupBy("q_lat", "q_lon")
+    best = best.agg((F.min("m") / METERS_PER_MILE).alias(out))
     return attach_by_place(df, best, queries, lat, lon)
 
 
