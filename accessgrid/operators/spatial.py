@@ -36,6 +36,7 @@ QUERY_CELL_POINTS = 4096
 TARGET_CELL_POINTS = 8
 CANDIDATES_PER_ROW = 512
 RELATIVE_SLACK = 1e-7
+ABSOLUTE_SLACK = 1e-12
 
 
 @dataclass(frozen=True)
@@ -108,22 +109,30 @@ def fit_grid(sides: list[tuple[DataFrame, int]]) -> Grid:
 
 
 def _leaf_cells(df: DataFrame, grid: Grid) -> DataFrame:
-    axes = _axes(df)
-    return df.select(*[c for c in df.columns if c not in axes], *_cell_columns(grid, axes, grid.level))
+    return df.select("*", *_cell_columns(grid, _axes(df), grid.level))
 
 
 def _cells_at(leaf: DataFrame, dims: int, shift: int, prefix: str, aggs: list[Column]) -> DataFrame:
+    """Occupied cells some levels above the finest, with the box their points really fill."""
     cells = [F.shiftright(f"_c{i}", shift).alias(f"{prefix}{i}") for i in range(dims)]
-    return leaf.groupBy(*cells).agg(*aggs)
+    box = [
+        f(f"_x{i}").alias(f"{prefix}_{end}{i}")
+        for i in range(dims)
+        for f, end in ((F.min, "lo"), (F.max, "hi"))
+    ]
+    return leaf.groupBy(*cells).agg(*aggs, *box)
 
 
-def _pair_bounds(grid: Grid, level: int, dims: int, pad: float) -> tuple[Column, Column]:
-    side = grid.cell_side(level)
-    apart = [F.abs(F.col(f"q{i}") - F.col(f"t{i}")).cast("double") for i in range(dims)]
-    low2 = reduce(Column.__add__, [F.pow(F.greatest(d - 1, F.lit(0.0)), F.lit(2)) for d in apart])
-    high2 = reduce(Column.__add__, [(d + 1) * (d + 1) for d in apart])
-    low = F.greatest(F.sqrt(low2) * F.lit(side) - F.lit(pad), F.lit(0.0))
-    return low, F.sqrt(high2) * F.lit(side) + F.lit(pad)
+def _pair_bounds(dims: int, pad: float) -> tuple[Column, Column]:
+    """Least and greatest distance between the points of two boxes."""
+    gaps, spans = [], []
+    for i in range(dims):
+        right = F.col(f"t_lo{i}") - F.col(f"q_hi{i}")
+        left = F.col(f"q_lo{i}") - F.col(f"t_hi{i}")
+        gaps.append(F.greatest(right, left, F.lit(0.0)))
+        spans.append(F.greatest(F.col(f"t_hi{i}") - F.col(f"q_lo{i}"), F.col(f"q_hi{i}") - F.col(f"t_lo{i}")))
+    low, high = (F.sqrt(reduce(Column.__add__, [d * d for d in ds])) for ds in (gaps, spans))
+    return F.greatest(low - F.lit(pad), F.lit(0.0)), high + F.lit(pad)
 
 
 def _next_pairs(
@@ -158,8 +167,9 @@ def _next_pairs(
             *[F.col(f"t{i}").alias(pt[i]) for i in range(dims)],
         )
         pairs = _spread_out(renamed, pq).join(q, pq).join(t, pt)
-    low, high = _pair_bounds(grid, level, dims, pad)
-    return pairs.drop(*pq, *pt).select("*", low.alias("low"), high.alias("high"))
+    low, high = _pair_bounds(dims, pad)
+    boxes = [f"{p}_{end}{i}" for p in "qt" for end in ("lo", "hi") for i in range(dims)]
+    return pairs.withColumns({"low": low, "high": high}).drop(*pq, *pt, *boxes)
 
 
 def _nearest_candidates(
@@ -182,25 +192,27 @@ def _nearest_candidates(
         if level == grid.level:
             pairs = _spread_out(pairs, q_key)  # the window below needs no other shuffle
         by_cell = Window.partitionBy(*q_key)
-        nearer = by_cell.orderBy("high").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        # The first distance within which cells hold k targets bounds the k-th nearest.
-        pairs = pairs.withColumn("held", F.sum("n").over(nearer))
-        pairs = pairs.withColumn("reach", F.min(F.when(F.col("held") >= k, F.col("high"))).over(by_cell))
-        pairs = pairs.where(
-            F.col("reach").isNull() | (F.col("low") <= F.col("reach") * (1 + RELATIVE_SLACK))
-        )
+        if k == 1:
+            pairs = pairs.withColumn("reach", F.min("high").over(by_cell))
+        else:
+            # The first distance within which cells hold k targets bounds the k-th nearest.
+            nearer = by_cell.orderBy("high").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            pairs = pairs.withColumn("held", F.sum("n").over(nearer))
+            enough = F.when(F.col("held") >= k, F.col("high"))
+            pairs = pairs.withColumn("reach", F.min(enough).over(by_cell))
+        reach = F.col("reach") * (1 + RELATIVE_SLACK) + grid.extent * ABSOLUTE_SLACK
+        pairs = pairs.where(F.col("reach").isNull() | (F.col("low") <= reach))
         if level == grid.level:
-            before = by_cell.orderBy("low", *t_key).rowsBetween(Window.unboundedPreceding, -1)
-            row = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / CANDIDATES_PER_ROW)
-            pairs = pairs.withColumn("near_row", row)
-        pairs = pairs.drop("high", "held", "reach", "q_n", "n", "low")
+            rows = F.ceil(F.sum("n").over(by_cell) / CANDIDATES_PER_ROW)
+            pairs = pairs.withColumn("near_row", F.pmod(F.xxhash64(*t_key), rows))
+        pairs = pairs.drop("low", "high", "held", "reach", "q_n", "n")
         previous = level
     t_cells = targets.withColumnsRenamed({f"_c{i}": c for i, c in enumerate(t_key)})
     t_cells = t_cells.groupBy(*t_key).agg(F.collect_list(F.struct(*payload)).alias("cell"))
     near = pairs.join(t_cells, t_key).groupBy(*q_key, "near_row")
     near = near.agg(F.flatten(F.collect_list("cell")).alias("near"))
     points = queries.withColumnsRenamed({f"_c{i}": c for i, c in enumerate(q_key)})
-    return points.join(near, q_key).drop(*q_key, "near_row")
+    return points.join(near, q_key).drop(*q_key, *[f"_x{i}" for i in range(dims)], "near_row")
 
 
 def _spread_out(pairs: DataFrame, q_key: list[str]) -> DataFrame:
@@ -214,8 +226,9 @@ def _spread_out(pairs: DataFrame, q_key: list[str]) -> DataFrame:
 
 def _meet(leaf_pairs: DataFrame, queries: DataFrame, targets: DataFrame, dims: int) -> DataFrame:
     """Points of both sides that share a finest cell pair."""
-    q = queries.withColumnsRenamed({f"_c{i}": f"q{i}" for i in range(dims)})
-    t = targets.withColumnsRenamed({f"_c{i}": f"t{i}" for i in range(dims)})
+    axes = [f"_x{i}" for i in range(dims)]
+    q = queries.drop(*axes).withColumnsRenamed({f"_c{i}": f"q{i}" for i in range(dims)})
+    t = targets.drop(*axes).withColumnsRenamed({f"_c{i}": f"t{i}" for i in range(dims)})
     return leaf_pairs.join(q, [f"q{i}" for i in range(dims)]).join(t, [f"t{i}" for i in range(dims)])
 
 
@@ -522,7 +535,8 @@ def coverage_totals(
         here = pairs.select(*keys, "_n", *sums)
         if held is not None:
             step = level - previous
-            children = _cells_at(c, dims, grid.level - level, "q", [F.count(F.lit(1)).alias("q_n")])
+            at = [F.shiftright(f"_c{i}", grid.level - level).alias(f"q{i}") for i in range(dims)]
+            children = c.select(*at).distinct()
             up = [F.shiftright(f"q{i}", step).alias(f"p{i}") for i in range(dims)]
             down = held.withColumnsRenamed({f"q{i}": f"p{i}" for i in range(dims)})
             down = down.join(children.select("*", *up), [f"p{i}" for i in range(dims)])
