@@ -19,11 +19,19 @@ ALBERS_ORIGIN_LAT = 23.0
 ALBERS_ORIGIN_LON = -96.0
 
 
+def angles(lat: Column, lon: Column) -> list[Column]:
+    """Latitude and longitude in radians and the cosine of the latitude."""
+    return [F.radians(lat), F.radians(lon), F.cos(F.radians(lat))]
+
+
+def haversine_of_angles(a: list[Column], b: list[Column]) -> Column:
+    half_lat, half_lon = F.sin((b[0] - a[0]) / 2), F.sin((b[1] - a[1]) / 2)
+    return half_lat * half_lat + a[2] * b[2] * half_lon * half_lon
+
+
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Haversine of the central angle, 0..1; grows with the distance."""
-    half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
-    half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
-    return half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
+    return haversine_of_angles(angles(lat1, lon1), angles(lat2, lon2))
 
 
 def miles_of_haversine(h: Column) -> Column:

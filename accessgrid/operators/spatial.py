@@ -20,8 +20,10 @@ from accessgrid.functions.geodesy import (
     EARTH_RADIUS_MILES,
     METERS_PER_MILE,
     albers_xy,
+    angles,
     chord_of_miles,
     haversine,
+    haversine_of_angles,
     miles_of_haversine,
     point_segment_distance,
     unit_vector,
@@ -29,7 +31,7 @@ from accessgrid.functions.geodesy import (
 from accessgrid.operators.lookup import HOT_SALTS, hot_keys, lookup_left
 from accessgrid.storage import materialize
 
-MAX_LEVEL = 24
+MAX_LEVEL = 28
 FIRST_LEVEL = 3
 LEVEL_STEP = 2
 QUERY_CELL_POINTS = 4096
@@ -287,17 +289,22 @@ def nearest_point(
     )
     targets = _with_axes(targets, unit_vector(F.col("t_lat"), F.col("t_lon")))
     grid, queries, targets = _finest(queries, targets)
-    near = _nearest_candidates(queries, targets, grid, 1, ["t_lat", "t_lon", "t_id"])
+    names = ["phi", "lam", "cos"]
+    target_angles = [a.alias(n) for a, n in zip(angles(F.col("t_lat"), F.col("t_lon")), names)]
+    targets = targets.select("*", *target_angles)
+    near = _nearest_candidates(queries, targets, grid, 1, [*names, "t_id"])
+    own = [a.alias(n) for a, n in zip(angles(F.col("q_lat"), F.col("q_lon")), names)]
     # The smallest haversine is the smallest distance; the arc is taken of the winner only.
     hits = F.transform(
         "near",
         lambda t: F.struct(
-            haversine(F.col("q_lat"), F.col("q_lon"), t["t_lat"], t["t_lon"]).alias("h"),
+            haversine_of_angles([F.col(n) for n in names], [t[n] for n in names]).alias("h"),
             t["t_id"].alias("t_id"),
         ),
     )
     best = (
-        near.select("q_lat", "q_lon", F.array_min(hits).alias("hit"))
+        near.select("q_lat", "q_lon", "near", *own)
+        .select("q_lat", "q_lon", F.array_min(hits).alias("hit"))
         .groupBy("q_lat", "q_lon")
         .agg(F.min("hit").alias("hit"))
         .select(

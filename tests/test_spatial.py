@@ -14,12 +14,12 @@ def miles(a, b, c, d):
     return 2 * 3958.8 * np.arcsin(np.sqrt(np.minimum(h, 1)))
 
 
-def uneven(n, lat, lon):
-    """A third at one coordinate, a third within a few metres, the rest anywhere."""
+def uneven(n, lat, lon, spread=1e-2):
+    """A third at one coordinate, a third close by, the rest anywhere."""
     a = n // 3
     rest = n - 2 * a
-    lats = np.concatenate([np.full(a, lat), lat + RNG.uniform(0, 1e-4, a), RNG.uniform(25, 49, rest)])
-    lons = np.concatenate([np.full(a, lon), lon + RNG.uniform(0, 1e-4, a), RNG.uniform(-124, -67, rest)])
+    lats = np.concatenate([np.full(a, lat), lat + RNG.uniform(0, spread, a), RNG.uniform(25, 49, rest)])
+    lons = np.concatenate([np.full(a, lon), lon + RNG.uniform(0, spread, a), RNG.uniform(-124, -67, rest)])
     return lats, lons
 
 
@@ -41,7 +41,9 @@ def targets():
     return uneven(300, 40.0005, -100.0)
 
 
-def test_nearest_matches_brute_force(spark, queries, targets):
+@pytest.mark.parametrize("spread", [1e-2, 1e-4])
+def test_nearest_matches_brute_force(spark, spread):
+    queries, targets = uneven(900, 40.0, -100.0, spread), uneven(300, 40.0005, -100.0, spread)
     sites = frame(spark, *targets).withColumnRenamed("k", "site_id")
     got = values(s.nearest_point(frame(spark, *queries), sites, "site_id"), "nearest_miles", "nearest_id")
     d = miles(queries[0][:, None], queries[1][:, None], targets[0][None], targets[1][None])
