@@ -37,6 +37,7 @@ LEVEL_STEP = 2
 QUERY_CELL_POINTS = 4096
 TARGET_CELL_POINTS = 8
 CANDIDATES_PER_ROW = 512
+POINTS_PER_TASK = 2000
 RELATIVE_SLACK = 1e-7
 ABSOLUTE_SLACK = 1e-12
 
@@ -48,6 +49,7 @@ class Grid:
     low: tuple[float, ...]
     extent: float
     level: int
+    points: int = 0
 
     def cell_side(self, level: int) -> float:
         return self.extent / 2**level
@@ -107,7 +109,7 @@ def fit_grid(sides: list[tuple[DataFrame, int]]) -> Grid:
         over = max(f / limit for f, limit in zip(fullest, limits))
         level = min(MAX_LEVEL, level + max(1, math.ceil(math.log(over, 4))))
         fullest = _fullest_cells(frames, grid, axes, level)
-    return Grid(low, extent, level)
+    return Grid(low, extent, level, sum(b["n"] for b in bounds))
 
 
 def _leaf_cells(df: DataFrame, grid: Grid) -> DataFrame:
@@ -168,7 +170,7 @@ def _next_pairs(
             *[F.col(f"q{i}").alias(pq[i]) for i in range(dims)],
             *[F.col(f"t{i}").alias(pt[i]) for i in range(dims)],
         )
-        pairs = _spread_out(renamed, pq).join(q, pq).join(t, pt)
+        pairs = _spread_out(renamed, pq, grid).join(q, pq).join(t, pt)
     low, high = _pair_bounds(dims, pad)
     boxes = [f"{p}_{end}{i}" for p in "qt" for end in ("lo", "hi") for i in range(dims)]
     return pairs.withColumns({"low": low, "high": high}).drop(*pq, *pt, *boxes)
@@ -192,7 +194,7 @@ def _nearest_candidates(
             pairs, queries, targets, grid, level, previous, [F.count(F.lit(1)).alias("n")], pad
         )
         if level == grid.level:
-            pairs = _spread_out(pairs, q_key)  # the window below needs no other shuffle
+            pairs = _spread_out(pairs, q_key, grid)  # the window below needs no other shuffle
         by_cell = Window.partitionBy(*q_key)
         if k == 1:
             pairs = pairs.withColumn("reach", F.min("high").over(by_cell))
@@ -217,13 +219,14 @@ def _nearest_candidates(
     return points.join(near, q_key).drop(*q_key, *[f"_x{i}" for i in range(dims)], "near_row")
 
 
-def _spread_out(pairs: DataFrame, q_key: list[str]) -> DataFrame:
-    """Cell pairs in as many partitions as the session shuffles to.
+def _spread_out(pairs: DataFrame, q_key: list[str], grid: Grid) -> DataFrame:
+    """Cell pairs in as many partitions as their points are worth, up to the session's.
 
-    A pair of finest cells is a few bytes that become many rows, so their size must not
+    A pair of cells is a few bytes that become many rows, so the size of the pairs must not
     decide how many tasks there are.
     """
-    return pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *q_key)
+    most = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(max(1, min(most, grid.points // POINTS_PER_TASK)), *q_key)
 
 
 def _meet(leaf_pairs: DataFrame, queries: DataFrame, targets: DataFrame, dims: int) -> DataFrame:
@@ -481,7 +484,7 @@ def pairs_within(
     none = [F.count(F.lit(1)).alias("n")]
     _, leaf = _radius_states(c, p, grid, miles, none, F.lit(False))
     d = miles_of_haversine(_haversine_of_pair())
-    leaf = _spread_out(leaf, [f"q{i}" for i in range(len(grid.low))])
+    leaf = _spread_out(leaf, [f"q{i}" for i in range(len(grid.low))], grid)
     met = _meet(leaf, c, p, len(grid.low)).select(center_id, point_id, d.alias("miles"))
     return met.where(F.col("miles") <= miles)
 
@@ -525,7 +528,7 @@ def coverage_totals(
     covers, leaf = _radius_states(c, p, grid, miles, [*measures, F.max("_need").alias("_need")], settled)
     d = miles_of_haversine(_haversine_of_pair())
     rim = (
-        _meet(_spread_out(leaf, [f"q{i}" for i in range(dims)]), c, p, dims)
+        _meet(_spread_out(leaf, [f"q{i}" for i in range(dims)], grid), c, p, dims)
         .withColumn("_d", d)
         .where(F.col("_d") <= miles)
         .groupBy("q_lat", "q_lon")

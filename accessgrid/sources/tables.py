@@ -6,6 +6,7 @@ the queries and their SQL checks.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Shape -> (tables or shapes it reads, SELECT text).
 SHAPES: dict[str, tuple[list[str], str]] = {
@@ -81,9 +82,19 @@ FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
 }
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
+def _given(spark: SparkSession, path: str) -> DataFrame:
+    """A given table; its footer is looked at once per process, not once per query."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given table, or one derived shape."""
     if name not in SHAPES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return _given(spark, f"{sf_dir}/{name}.parquet")
     needs, text = SHAPES[name]
     return spark.sql(text, **{n: table(spark, sf_dir, n) for n in needs})
