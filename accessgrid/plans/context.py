@@ -10,6 +10,7 @@ from accessgrid.operators.spatial import nearest_segment, neighbour_spread
 from accessgrid.plans.checks import check, pick
 from accessgrid.plans.inputs import covered_zones, rounded
 from accessgrid.sources.tables import table
+from accessgrid.storage import materialize
 
 OUT_OF_SCOPE = ["NATION_3", "NATION_7", "NATION_24"]
 
@@ -83,7 +84,7 @@ def column_coverage(spark, sf_dir):
 
 
 def _features(spark, sf_dir):
-    base = covered_zones(spark, sf_dir)
+    base = materialize(covered_zones(spark, sf_dir))
     roads = nearest_segment(base, table(spark, sf_dir, "segments")).select("zone", "line_miles")
     rough = neighbour_spread(base, "zone", "elevation_m")
     terrain = rough.select("zone", "ruggedness", F.col("elevation_m").alias("mean_elevation_m"))

@@ -10,6 +10,7 @@ from accessgrid.operators.spatial import nearest_segment, neighbour_spread
 from accessgrid.plans.checks import albers, check, pick
 from accessgrid.plans.inputs import covered_zones, rounded
 from accessgrid.sources.tables import table
+from accessgrid.storage import materialize
 
 
 def zone_nearest_site(spark, sf_dir):
@@ -26,7 +27,8 @@ def desert_counts(spark, sf_dir):
 
 
 def distance_distribution(spark, sf_dir):
-    return rounded(reports.distance_summary(covered_zones(spark, sf_dir), "nearest_miles"))
+    covered = materialize(covered_zones(spark, sf_dir).select("nearest_miles"))
+    return rounded(reports.distance_summary(covered, "nearest_miles"))
 
 
 def distance_distribution_sketch(spark, sf_dir):
@@ -41,7 +43,7 @@ def most_remote_zones(spark, sf_dir):
 
 def status_label(spark, sf_dir):
     """Status by each way a table may carry it: flag column, yes/no column, charger count."""
-    base = covered_zones(spark, sf_dir).select("zone", "is_desert")
+    base = materialize(covered_zones(spark, sf_dir).select("zone", "is_desert"))
     by_flag = zones.label_coverage(base, "from_flag")
     yes_no = base.select("zone", (F.col("is_desert") == 1).alias("charging_desert"))
     by_yes_no = zones.label_coverage(yes_no, "from_yes_no").drop("charging_desert")

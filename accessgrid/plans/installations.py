@@ -47,7 +47,7 @@ def latest_per_zone(spark, sf_dir):
 
 def _split_panel(spark, sf_dir):
     known = event_panel(spark, sf_dir).where(F.col(TARGET).isNotNull())
-    return panel.mark_test_period(known)
+    return panel.mark_test_period(materialize(known.select("zone", "month_start", TARGET, "ports_lag_12m")))
 
 
 def temporal_split_counts(spark, sf_dir):

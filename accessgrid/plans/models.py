@@ -32,7 +32,7 @@ HOLDOUT_SEED = 7
 def _modelled(spark, sf_dir):
     weather = zones.weather_by_state(table(spark, sf_dir, "weather_daily"))
     features = zones.zone_features(covered_zones(spark, sf_dir), weather)
-    return materialize(zones.add_group_statistics(features))
+    return materialize(zones.add_group_statistics(materialize(features)))
 
 
 def _fitted(spark, sf_dir):
@@ -78,11 +78,11 @@ def _panel(spark, sf_dir):
     static = zones.zone_features(table(spark, sf_dir, "zones"), weather)
     wanted = [c for c in PANEL_FEATURES if c in static.columns]
     rows = event_panel(spark, sf_dir).join(static.select("zone", "state", "region", *wanted), "zone", "left")
-    return panel.mark_test_period(rows.where(F.col(TARGET).isNotNull()))
+    return panel.mark_test_period(materialize(rows.where(F.col(TARGET).isNotNull())))
 
 
 def _forecast(spark, sf_dir, stage):
-    out = m.forecast(materialize(_panel(spark, sf_dir)), TARGET, PANEL_FEATURES, stage, "forecast")
+    out = m.forecast(_panel(spark, sf_dir), TARGET, PANEL_FEATURES, stage, "forecast")
     return out.select("zone", "month_start", "state", "region", TARGET, "forecast")
 
 
