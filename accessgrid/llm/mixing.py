@@ -103,9 +103,9 @@ def mix(
     leaf = leaf.withColumn("whole", F.expr("cast(leaf_budget div tokens AS int)"))
     met = docs.join(leaf, LEVELS)
     # The last epoch's order: a hash, cut in ranges so that no leaf is sorted as one.
-    met = met.withColumn("order", F.xxhash64(F.lit(seed), "whole", "key"))
+    met = met.withColumn("order", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "whole", "key"), 11))
     ranges = F.ceil(F.col("docs") / RANGE_ROWS)
-    spot = F.shiftrightunsigned("order", 11).cast("double") / F.lit(float(2**53))
+    spot = F.col("order").cast("double") / F.lit(float(2**53))
     met = written(met.withColumn("range", F.floor(spot * ranges).cast("int")))
     sums = met.groupBy(*LEVELS, "range").agg(F.sum("n_tokens").alias("in_range"))
     past = Window.partitionBy(*LEVELS).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

@@ -58,11 +58,13 @@ def segment_statistics(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.nda
 
 
 def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products of all rows of q with all of x."""
-    most = np.abs(q).max(initial=0).astype(float) * np.abs(x).max(initial=0).astype(float) * q.shape[1]
+    """Exact inner products of all rows of q with all of x, held at the limits of 64 bits."""
+    most = np.abs(q.astype(float)).max(initial=0) * np.abs(x.astype(float)).max(initial=0) * q.shape[1]
     if most < EXACT:
         return (q.astype(float) @ x.astype(float).T).astype(np.int64)
-    return q @ x.T
+    if most < 2.0**62:
+        return q @ x.T
+    return np.clip(q.astype(object) @ x.T.astype(object), -(2**63), 2**63 - 1).astype(np.int64)
 
 
 def block_top_k(q_id, q, floor, x_id, x, k: int) -> list[tuple[int, int, int]]:
@@ -121,7 +123,7 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec: str = "embedding", k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each query row, never its own id.
 
-    Ties go to the smaller id.  Only vectors of the query's length are compared.  Queries that agree
+    Ties go to the smaller id; components and scores beyond 64 bits are held at the limits.  Only vectors of the query's length are compared.  Queries that agree
     in id and vector are one query; repeated candidates count as often as they occur.  An empty table
     gives no rows; further columns are not read.
     """
