@@ -1,15 +1,18 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations alone.
 
 A line is the set of its character shingles: SHINGLE characters from each word's start on, and from
-each STRIDE characters inside longer runs, so that every character is covered, of text without
-spaces too.  For each of POINTS random points the shingle nearest to it (smallest XOR distance of
-hashes) is kept: two sets agree there with the probability of their Jaccard similarity.  POINTS fall
-into bands; lines that agree in a whole band are candidates, their similarity is computed exactly
-on whole shingle sets, and the links' components lose all but the first line in order of documents.
-
-Equal lines are one from the start.  In a band's bucket all lines are compared with one of them; only
-those that are not similar to it are compared with the rest of the bucket.  The others are linked
-already, so components come out as if all pairs had been looked at.
+every character of runs that are longer, so that all characters are covered, of text without spaces
+too.  For each of POINTS random points the shingle nearest to it (smallest XOR distance of hashes) is
+kept: two sets agree there with the probability of their Jaccard similarity.  Points form bands;
+lines that agree in a whole band are candidates, their similarity is computed exactly on whole
+shingle sets, and of each component of similar lines the first in order of documents stays.
+
+Equal lines are one from the start.  The lines of a band's bucket are compared with its centre, the
+most frequent of them; those that are similar to it are linked, so pairs among them need no look.
+Lines that differ from their centre meet the others of that centre that share a shingle the centre
+does not hold; without one, what two sets have in common with the centre, and what not, bounds their
+similarity, and few pairs reach the threshold.  Components come out as if all pairs had been looked
+at, and a group of near copies makes no pairs.
 """
 from __future__ import annotations
 
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from accessgrid.llm.common import row_key, written
 from accessgrid.llm.components import components
 
-SHINGLE, STRIDE = 12, 6
+SHINGLE = 12
 THRESHOLD = 0.8
 #: 8 bands of 3 points: a pair at 0.8 is met with a probability of 0.997.
 BANDS, ROWS = 8, 3
@@ -37,12 +40,12 @@ def _points() -> list[int]:
 
 
 def normal(line: Column) -> Column:
-    """Lines that differ in case or in white space around them alone are equal."""
-    return F.lower(F.regexp_replace(line, r"^\s+|\s+$", ""))
+    """Lines that differ in white space around them alone are equal."""
+    return F.btrim(line, F.lit(" \t\r\x0b\x0c"))
 
 
 def shingles(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{1,{SHINGLE}}}))\S{{1,{STRIDE}}}\s*"), F.lit(1))
+    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{1,{SHINGLE}}}))(?:\S{{1,{SHINGLE}}}(?!\S)|\S)\s*"), F.lit(1))
 
 
 def _lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -72,36 +75,46 @@ def signatures(lines: DataFrame) -> DataFrame:
     return found.select("h", F.array(*bands).alias("bands"))
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """pairs (u, v, ...) with `alike`, from the exact similarity of the whole sets."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     met = pairs.join(sets.select(F.col("h").alias("u"), F.col("shingles").alias("su")), "u")
-    met = met.join(sets.select(F.col("h").alias("v"), F.col("shingles").alias("sv")), "v")
+    return met.join(sets.select(F.col("h").alias("v"), F.col("shingles").alias("sv")), "v")
+
+
+def _alike(threshold: float) -> Column:
     both = F.size(F.array_intersect("su", "sv"))
-    return met.withColumn("alike", both >= threshold * (F.size("su") + F.size("sv") - both) - 1e-9).drop("su", "sv")
+    return both >= threshold * (F.size("su") + F.size("sv") - both) - 1e-9
 
 
-def linked(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(node, root) for lines that are similar to another: hashes of lines and of their component."""
+def linked(lines: DataFrame, counts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, root) for lines that are similar to another: hashes of lines and of their component.
+
+    counts: (h, n) of lines that occur more than once.
+    """
     bands = written(signatures(lines)).select("h", F.explode("bands").alias("bucket"))
-    several = written(bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
-    members = written(thinned(bands, "bucket", several, "bucket").join(several.select("bucket"), "bucket").distinct())
-    centre = members.groupBy("bucket").agg(F.min("h").alias("centre"))
-    members = written(members.join(centre, "bucket"))
-    needed = members.select("h").distinct()
-    sets = thinned(lines.select("h", "line"), "h", needed, "h").join(needed, "h", "left_semi").dropDuplicates(["h"])
-    sets = sets.select("h", F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s))).alias("shingles"))
+    several = written(bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"))
+    members = written(thinned(bands, "bucket", several, "bucket").join(several, "bucket").distinct())
+    weighed = members.join(counts, "h", "left").withColumn("rank", F.struct(-F.coalesce("n", F.lit(1)), "h"))
+    centre = weighed.groupBy("bucket").agg(F.min("rank")["h"].alias("u"))
+    pairs = members.join(centre, "bucket").select("u", F.col("h").alias("v")).filter("u <> v").distinct()
+    needed = written(members.select("h").distinct())
+    sets = thinned(lines.select("h", "line"), "h", needed, "h").join(needed, "h").dropDuplicates(["h"])
+    sets = sets.select("h", F.array_sort(F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s)))).alias("shingles"))
     sets = written(sets)
-    stars = members.filter("h <> centre").select(F.col("centre").alias("u"), F.col("h").alias("v")).distinct()
-    stars = written(_similar(stars, sets, threshold))
-    # Lines that differ from their bucket's centre meet all others of the bucket.
-    alone = members.join(stars.filter("NOT alike"), (F.col("centre") == F.col("u")) & (F.col("h") == F.col("v"))).select("bucket", F.col("h").alias("u"))
-    width = sets.select("h", F.size("shingles").alias("n"))
-    left = alone.join(width.withColumnRenamed("h", "u").withColumnRenamed("n", "nu"), "u")
-    right = members.filter("h <> centre").select("bucket", F.col("h").alias("v")).join(width.withColumnRenamed("h", "v").withColumnRenamed("n", "nv"), "v")
-    fits = (F.col("u") != F.col("v")) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9)
-    rest = left.join(right, "bucket").filter(fits).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    found = stars.filter("alike").select("u", "v").union(_similar(rest, sets, threshold).filter("alike").select("u", "v"))
-    return components(found)
+    own, common = F.array_except("sv", "su"), F.size(F.array_intersect("sv", "su"))
+    stars = _with_sets(pairs, sets).select(F.col("u").alias("centre"), "v", own.alias("own"), common.alias("common"), _alike(threshold).alias("alike"))
+    stars = written(stars)
+    side = lambda name: (F.col("v").alias(name), F.size("own").alias(f"own_{name}"), F.col("common").alias(f"common_{name}"))
+    far = stars.filter("NOT alike")
+    token = F.explode("own").alias("token")
+    sharing = far.select("centre", token, *side("a")).join(stars.select("centre", token, *side("b")), ["centre", "token"])
+    size_a, size_b = F.col("own_a") + F.col("common_a"), F.col("own_b") + F.col("common_b")
+    sharing = sharing.filter((F.col("a") != F.col("b")) & (F.least(size_a, size_b) >= threshold * F.greatest(size_a, size_b) - 1e-9))
+    # Without a shingle in common but those of the centre, the union holds both lines' own ones.
+    reach = F.least("common_a", "common_b") >= threshold * (F.greatest("common_a", "common_b") + F.col("own_a") + F.col("own_b")) - 1e-9
+    apart = far.select("centre", *side("a")).join(stars.select("centre", *side("b")), "centre").filter((F.col("a") != F.col("b")) & reach)
+    rest = sharing.select("a", "b").union(apart.select("a", "b")).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    found = stars.filter("alike").select(F.col("centre").alias("u"), "v")
+    return components(found.union(_with_sets(rest, sets).filter(_alike(threshold)).select("u", "v")))
 
 
 def duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -109,11 +122,12 @@ def duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", thresh
     and the numbers, from 0, of the lines to go; rows without such lines are left out."""
     lines = _lines(df, id_col, text)
     places = written(lines.select("key", "line_no", "h").distinct())  # repeated rows are one document
-    roots = written(linked(lines, threshold))
     order = F.struct(F.col("key.id").isNull().alias("none"), "key", "line_no")
-    first = places.groupBy("h").agg(F.min(order).alias("first"), F.count("*").alias("n"))
-    first = written(first.join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h")))
-    kept = first.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("lines")).filter("lines > 1")
+    first = written(places.groupBy("h").agg(F.min(order).alias("first"), F.count("*").alias("n")))
+    roots = linked(lines.select("h", "line"), first.filter("n > 1").select("h", "n"), threshold)
+    first = first.join(roots.withColumnRenamed("node", "h"), "h", "left").filter("n > 1 OR root IS NOT NULL")
+    first = written(first.select("h", F.coalesce("root", "h").alias("root"), "first"))
+    kept = first.groupBy("root").agg(F.min("first").alias("kept"))
     repeated = first.join(kept, "root").select("h", "kept")
     met = places.join(repeated, "h", "left")
     gone = F.col("kept").isNotNull() & (F.col("kept") != F.struct(F.col("key.id").isNull().alias("none"), "key", "line_no"))
