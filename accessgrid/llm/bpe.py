@@ -13,6 +13,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -33,25 +34,26 @@ STEPS = 40
 DECODE_TOKENS = 2_000_000
 
 _STEP = """
-WITH RECURSIVE r(step, w, p, t) AS (
-  SELECT 0::INTEGER, w, p, t FROM start
+WITH RECURSIVE r(step, w, p, t, done) AS (
+  SELECT 0::INTEGER, w, p, t, false FROM start
   UNION ALL
-  SELECT step + 1, w, p, CASE WHEN k = best THEN (best >> 32)::INTEGER ELSE t END
-  FROM (SELECT *, lag(k) OVER (PARTITION BY w ORDER BY p) AS before, min(k) OVER (PARTITION BY w) AS best
+  SELECT step + 1, w, p, CASE WHEN k = best THEN (best >> 32)::INTEGER ELSE t END, best IS NULL
+  FROM (SELECT *, lag(k) OVER (PARTITION BY w ORDER BY p) AS before, min(k) OVER whole AS best
         FROM (SELECT step, w, p, t, (m.r::BIGINT << 32) + p AS k
-              FROM (SELECT *, lead(t) OVER (PARTITION BY w ORDER BY p) AS n FROM r WHERE step < {steps}) x
-              LEFT JOIN merges m ON m.a = x.t AND m.b = x.n))
-  WHERE best IS NOT NULL AND (before IS NULL OR before <> best))
-SELECT w, p, t, step FROM (SELECT *, max(step) OVER (PARTITION BY w) AS last FROM r) WHERE step = last ORDER BY w, p
+              FROM (SELECT step, w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS n FROM r WHERE NOT done AND step < {steps}) x
+              LEFT JOIN merges m ON m.a = x.t AND m.b = x.n)
+        WINDOW whole AS (PARTITION BY w ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  WHERE best IS NULL OR before IS NULL OR before <> best)
+SELECT w, p, t, done FROM r WHERE done OR step = {steps} ORDER BY w, p
 """
 
 # The same with all occurrences of the least rank at once, unless the merged token is part of a pair
 # of still smaller rank; of overlapping occurrences every other one, from the left.
 _STEP_ALL = """
-WITH RECURSIVE r(step, w, p, t) AS (
-  SELECT 0::INTEGER, w, p, t FROM start
+WITH RECURSIVE r(step, w, p, t, done) AS (
+  SELECT 0::INTEGER, w, p, t, false FROM start
   UNION ALL
-  SELECT step + 1, w, p, CASE WHEN taken THEN best ELSE t END
+  SELECT step + 1, w, p, CASE WHEN taken THEN best ELSE t END, best IS NULL
   FROM (SELECT *, lag(taken) OVER (PARTITION BY w ORDER BY p) AS gone
         FROM (SELECT *, least_here AND (p = first_p OR (safe AND (row_number() OVER (PARTITION BY w, run ORDER BY p)) % 2 = 1)) AS taken
               FROM (SELECT *, min(CASE WHEN least_here THEN p END) OVER (PARTITION BY w) AS first_p,
@@ -59,15 +61,14 @@ WITH RECURSIVE r(step, w, p, t) AS (
                     FROM (SELECT *, coalesce(rank = best, false) AS least_here
                           FROM (SELECT *, min(rank) OVER (PARTITION BY w) AS best
                                 FROM (SELECT step, w, p, t, m.r AS rank, m.safe AS safe
-                                      FROM (SELECT *, lead(t) OVER (PARTITION BY w ORDER BY p) AS n FROM r WHERE step < {steps}) x
+                                      FROM (SELECT step, w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS n
+                                            FROM r WHERE NOT done AND step < {steps}) x
                                       LEFT JOIN merges m ON m.a = x.t AND m.b = x.n)))))
-  ) WHERE best IS NOT NULL AND NOT coalesce(gone, false))
-SELECT w, p, t, step FROM (SELECT *, max(step) OVER (PARTITION BY w) AS last FROM r) WHERE step = last ORDER BY w, p
+  ) WHERE best IS NULL OR NOT coalesce(gone, false))
+SELECT w, p, t, done FROM r WHERE done OR step = {steps} ORDER BY w, p
 """
 
-# A part of a text whose pieces don't depend on what surrounds it: cut where a single space or line
-# feed stands between two other characters.
-_ODD_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z|[\x1c-\x1f]")
+_SPANS = re.compile(r" ?[^ \n]+|\n")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -119,13 +120,11 @@ class Bpe:
             self.db.register("start", pa.table({"w": w, "p": p, "t": t}))
             rows = self.db.sql(step.format(steps=STEPS)).to_arrow_table()
             self.db.unregister("start")
-            w, p, t, last = (rows.column(i).to_numpy() for i in range(4))
-            more = last >= STEPS
-            done_w, done_t = w[~more], t[~more].astype("<u4")
-            cuts = np.flatnonzero(np.diff(done_w)) + 1
-            for word, ids in zip(done_w[np.concatenate([[0], cuts])] if len(done_w) else [], np.split(done_t, cuts)):
-                out[word] = ids.tobytes()
-            w, p, t = w[more], p[more], t[more]
+            w, p, t, done = (rows.column(i).to_numpy() for i in range(4))
+            ids, cuts = t[done].astype("<u4").tobytes(), np.flatnonzero(np.diff(w[done], prepend=-1))
+            for word, start, end in zip(w[done][cuts].tolist(), (4 * cuts).tolist(), [*(4 * cuts[1:]).tolist(), len(ids)]):
+                out[word] = ids[start:end]
+            w, p, t = w[~done], p[~done], t[~done]
         return out
 
     def learn(self, pieces: Iterable[str]) -> None:
@@ -152,28 +151,25 @@ class Bpe:
                 start = end
 
     def cut(self, text: str) -> list[str]:
-        """The text in spans that are tokenized each on its own."""
-        if _ODD_SPACE.search(text):
+        """The text in spans that are tokenized each on its own: words with the space before them, and
+        line feeds, if nothing else stands between words; else the pieces themselves."""
+        words, gaps = text.split(), text.count(" ") + text.count("\n")
+        if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(text):
             return self.pieces.findall(text)
-        out: list[str] = []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                out.append("\n")
-            first, *rest = line.split(" ")
-            out.append(first)
-            out += [" " + x for x in rest]
-        return out
+        return _SPANS.findall(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.spans) > CACHE:
             self.spans.clear()
         spans = [self.cut(t) if t else [] for t in texts]
-        unseen = {s for doc in spans for s in doc if s not in self.spans}
-        split = {s: self.pieces.findall(s) for s in unseen}
-        self.learn(p for s in split.values() for p in s)
-        for span, pieces in split.items():
-            self.spans[span] = b"".join([self.known[p] for p in pieces])
+        unseen = set(chain.from_iterable(spans)).difference(self.spans)
+        # Letters, after a space or not, are one piece.
+        single = {s for s in unseen if s.isalpha() or (s[:1] == " " and s[1:].isalpha())}
+        split = {s: tuple(self.pieces.findall(s)) for s in unseen - single}
+        self.learn(chain(single, chain.from_iterable(split.values())))
+        self.spans.update((s, self.known[s]) for s in single)
+        self.spans.update((s, b"".join([self.known[p] for p in pieces])) for s, pieces in split.items())
         get = self.spans.__getitem__
         return [b"".join(map(get, doc)) for doc in spans]
 
