@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 from accessgrid.functions.constants import INCOME_BANDS, UNKNOWN_LABEL
 
 
+ZIP_PLUS_FOUR = r"^\d{5}-\d{4}$"
+
+
+def _left_padded(text: Column, width: int) -> Column:
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def padded_key(col: Column, width: int = 5) -> Column:
-    """Key as text, zero-padded on the left; longer text is cut to ``width``."""
-    return F.lpad(col.cast("string"), width, "0")
+    """Key as text, zero-padded on the left; longer keys stay whole, only ZIP+4 loses its last part."""
+    text = col.cast("string")
+    return _left_padded(F.when(text.rlike(ZIP_PLUS_FOUR), F.left(text, F.lit(5))).otherwise(text), width)
 
 
 def numeric_key(col: Column, width: int = 5) -> Column:
-    """Key read as a number, then zero-padded; text that is no number gives NULL."""
-    return F.lpad(col.try_cast("bigint").cast("string"), width, "0")
+    """Key read as a number, then zero-padded; text that is no number gives NULL, long keys stay whole."""
+    return _left_padded(col.try_cast("bigint").cast("string"), width)
 
 
 def upper_text(col: Column) -> Column:

@@ -44,27 +44,25 @@ def lookup_left(
 ) -> DataFrame:
     """Left join ``fact`` to ``dim`` on ``keys``; every fact row stays.
 
-    Fact rows of a hot key are spread over ``salts`` slots by the partition they are read
-    in, and the dimension row is present in all slots, so no task gets a whole hot key.
-    With ``hot`` (see :func:`hot_keys`) only those keys are salted, for dimensions as large
-    as the fact table; without it every key is, for dimensions that are small next to it.
-    NULL keys, which match nothing, are always spread.
+    Without ``hot`` it is a plain join: the size-checked broadcast serves small dimensions with
+    no exchange of the fact side.  With ``hot`` (see :func:`hot_keys`), for dimensions as large as
+    the fact table, rows of those keys are spread over ``salts`` slots by the partition they are
+    read in, and the dimension row is present in all slots, so no task gets a whole hot key; NULL
+    keys, which match nothing, are spread too.
 
     The partition number is the same when a task runs again, so a lost executor does not
     move rows between slots, and it keeps no column in the scan that nobody asked for.
     """
+    if hot is None:
+        return lookup_small(fact, dim, keys, null_safe)
+    fact, dim = fact.withColumn("_hot", hot), dim.withColumn("_dim_hot", hot)
+    spread = F.array_contains("_hot", F.xxhash64(*keys))
+    if not null_safe:
+        spread = spread | reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    slot = F.when(spread, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
     all_slots = F.sequence(F.lit(0), F.lit(salts - 1))
-    slot = F.pmod(F.spark_partition_id(), F.lit(salts))
-    slots = all_slots
-    if hot is not None:
-        fact = fact.withColumn("_hot", hot)
-        dim = dim.withColumn("_dim_hot", hot)
-        spread = F.array_contains("_hot", F.xxhash64(*keys))
-        if not null_safe:
-            spread = spread | reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-        slot = F.when(spread, slot).otherwise(F.lit(0))
-        is_hot = F.array_contains("_dim_hot", F.xxhash64(*keys))
-        slots = F.when(is_hot, all_slots).otherwise(F.array(F.lit(0)))
+    is_hot = F.array_contains("_dim_hot", F.xxhash64(*keys))
+    slots = F.when(is_hot, all_slots).otherwise(F.array(F.lit(0)))
     left = fact.withColumn("_slot", slot).drop("_hot")
     right = dim.select(
         *[c for c in dim.columns if c != "_dim_hot"], F.explode(slots).alias("_slot")

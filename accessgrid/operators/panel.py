@@ -18,7 +18,7 @@ def monthly_events(stations: DataFrame, zone_key: str = "zip") -> DataFrame:
     keyed = stations.withColumn("zone", fx.numeric_key(F.col(zone_key)))
     year, month = F.col("install_year").try_cast("int"), F.col("install_month").try_cast("int")
     usable = keyed.where(
-        F.col("zone").rlike(r"^\d{5}$") & year.isNotNull() & month.between(1, 12)
+        F.col("zone").rlike(r"^\d{5,}$") & year.isNotNull() & month.between(1, 12)
     )
     return (
         usable.withColumn("month_start", fx.month_start(year, month))

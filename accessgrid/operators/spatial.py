@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from accessgrid.functions.scalars import finite
 from accessgrid.functions.geodesy import (
     EARTH_RADIUS_MILES,
     METERS_PER_MILE,
@@ -242,7 +243,7 @@ def _coordinates(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return (
         df.select(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon"))
         .where(F.col("q_lat").isNotNull() & F.col("q_lon").isNotNull())
-        .where(~F.isnan("q_lat") & ~F.isnan("q_lon"))
+        .where(finite(F.col("q_lat")) & finite(F.col("q_lon")))
         .groupBy("q_lat", "q_lon")
         .agg(F.count(F.lit(1)).alias("q_rows"))
     )
@@ -286,7 +287,7 @@ def nearest_point(
     queries = _with_axes(_coordinates(df, lat, lon), unit_vector(F.col("q_lat"), F.col("q_lon")))
     targets = (
         sites.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .where(~F.isnan(lat) & ~F.isnan(lon))
+        .where(finite(F.col(lat)) & finite(F.col(lon)))
         .groupBy(F.col(lat).alias("t_lat"), F.col(lon).alias("t_lon"))
         .agg(F.min(site_id).alias("t_id"))
     )
@@ -331,7 +332,7 @@ def nearest_neighbours(
     Returns q_lat, q_lon, neighbour key, squared distance, payload, position 1..k.
     """
     usable = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    usable = usable.where(~F.isnan(lat) & ~F.isnan(lon))
+    usable = usable.where(finite(F.col(lat)) & finite(F.col(lon)))
     queries = _with_axes(_coordinates(usable, lat, lon), [F.col("q_lat"), F.col("q_lon")])
     same_place = Window.partitionBy(lat, lon).orderBy(key)
     targets = (
@@ -472,10 +473,10 @@ def pairs_within(
     The pairs are the result here; for per-center totals use :func:`coverage_totals`,
     which does not build them.
     """
-    c = centers.where(~F.isnan(lat) & ~F.isnan(lon)).select(
+    c = centers.where(finite(F.col(lat)) & finite(F.col(lon))).select(
         center_id, F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon")
     )
-    p = points.where(~F.isnan(lat) & ~F.isnan(lon)).select(
+    p = points.where(finite(F.col(lat)) & finite(F.col(lon))).select(
         point_id, F.col(lat).alias("t_lat"), F.col(lon).alias("t_lon")
     )
     c = _with_axes(c, unit_vector(F.col("q_lat"), F.col("q_lon")))
@@ -510,7 +511,7 @@ def coverage_totals(
     c = _with_axes(_coordinates(centers, lat, lon), unit_vector(F.col("q_lat"), F.col("q_lon")))
     p = (
         points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .where(~F.isnan(lat) & ~F.isnan(lon))
+        .where(finite(F.col(lat)) & finite(F.col(lon)))
         .groupBy(
             F.col(lat).alias("t_lat"), F.col(lon).alias("t_lon"), F.col(shortfall_of).alias("_need")
         )

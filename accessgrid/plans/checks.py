@@ -37,7 +37,7 @@ PIECES: dict[str, str] = {
     "stations": f"""
 SELECT id, station_name,
        concat(upper(substr(trim(city), 1, 1)), lower(substr(trim(city), 2))) AS city,
-       upper(trim(r.state)) AS state, lpad(zip, 5, '0') AS zip, latitude, longitude,
+       upper(trim(r.state)) AS state, lpad(zip, cast(greatest(5, length(zip)) AS int), '0') AS zip, latitude, longitude,
        access_code, status_code, open_date,
        coalesce(level1_ports, 0) AS level1_ports, coalesce(level2_ports, 0) AS level2_ports,
        coalesce(dcfc_ports, 0) AS dcfc_ports, trim(ev_network) AS ev_network, country,

@@ -23,7 +23,7 @@ def scoped_zones(spark, sf_dir):
     kept = base.where(
         F.col("state").isNotNull()
         & ~F.col("state").isin(OUT_OF_SCOPE)
-        & F.col("zone").rlike(r"^\d{5}$")
+        & F.col("zone").rlike(r"^\d{5,}$")
         & fx.finite(F.col("lat"))
         & fx.finite(F.col("lon"))
     )

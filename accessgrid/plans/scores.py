@@ -1,6 +1,8 @@
 """Queries that evaluate scores: curves, thresholds, holdouts, seeds, baselines."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from accessgrid.functions import constants as k
@@ -113,7 +115,7 @@ def seed_summary(spark, sf_dir):
 
 def metrics_flatten(spark, sf_dir):
     """Seed results written as one nested document, read back and flattened."""
-    path = f"{shared_folder(spark)}/accessgrid/metrics-{spark.sparkContext.applicationId}"
+    path = f"{shared_folder(spark)}/accessgrid/metrics-{uuid.uuid4().hex}"
     results = _seed_results(spark, sf_dir).withColumn("test_states", F.split("test_states", ", "))
     per_seed = F.struct("seed", "test_states", "test_positives", "pr_auc")
     # At most five accepted seeds per holdout size.

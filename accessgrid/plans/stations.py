@@ -178,7 +178,7 @@ def map_sample(spark, sf_dir):
     stations = cleaning.in_box(cleaned_stations(spark, sf_dir), "latitude", "longitude", MAP_LAT, MAP_LON)
     named = F.coalesce(F.col("ev_network"), F.lit(k.NO_NETWORK_LABEL))
     stations = stations.withColumn("ev_network", named)
-    out = ranking.seeded_sample(stations, "id", 42, 2000)
+    out = ranking.seeded_sample(stations, "id", 42, 8000)
     return rounded(out.select("id", "city", "state", "charger_level", "ev_network", "latitude", "longitude"))
 
 
@@ -364,7 +364,7 @@ ORACLES = {
     "map_sample": pick(
         f"(SELECT id, city, state, charger_level, coalesce(ev_network, '{k.NO_NETWORK_LABEL}') AS ev_network, latitude, longitude "
         "FROM [stations] WHERE latitude BETWEEN 24 AND 50 AND longitude BETWEEN -125 AND -66 "
-        "ORDER BY md5(concat(cast(id AS varchar), ':', '42')), id LIMIT 2000)",
+        "ORDER BY md5(concat(cast(id AS varchar), ':', '42')), id LIMIT 8000)",
         "id city state charger_level ev_network", "latitude longitude",
     ),
 }

@@ -13,7 +13,7 @@ SHAPES: dict[str, tuple[list[str], str]] = {
     "zones": (
         ["customer", "nation", "region"],
         """
-SELECT lpad(cast(c_custkey AS string), 5, '0') AS zone, n_name AS state, r_name AS region,
+SELECT lpad(cast(c_custkey AS string), cast(greatest(5, length(cast(c_custkey AS string))) AS int), '0') AS zone, n_name AS state, r_name AS region,
        cast((c_custkey * 7919) % 50000 AS double) AS population,
        CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE 20000 + (c_acctbal + 1000) * 10 END AS income,
        cast(1 + (c_custkey * 31) % 5000 AS double) AS area_km2,

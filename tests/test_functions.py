@@ -40,12 +40,12 @@ def test_desert_flag(spark, miles, want):
     assert one(spark, zones.desert_flag(F.col("x")), row=(miles,)) == want
 
 
-@pytest.mark.parametrize("raw, want", [("601", "00601"), ("12345-6789", "12345"), (None, None)])
+@pytest.mark.parametrize("raw, want", [("601", "00601"), ("12345-6789", "12345"), ("123456", "123456"), (None, None)])
 def test_padded_key(spark, raw, want):
     assert one(spark, fx.padded_key(F.col("x")), "x string", (raw,)) == want
 
 
-@pytest.mark.parametrize("raw, want", [("601", "00601"), ("abc", None), (None, None)])
+@pytest.mark.parametrize("raw, want", [("601", "00601"), ("150000", "150000"), ("abc", None), (None, None)])
 def test_numeric_key(spark, raw, want):
     assert one(spark, fx.numeric_key(F.col("x")), "x string", (raw,)) == want
 

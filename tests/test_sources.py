@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from accessgrid.sources import readers
+from accessgrid.sources import readers, tables
 from accessgrid.storage import materialize, shared_folder
 
 
@@ -75,3 +75,12 @@ def test_materialize_uses_the_sessions_folder(spark):
     out = materialize(spark.range(3))
     assert sorted(r["id"] for r in out.collect()) == [0, 1, 2]
     assert all(shared_folder(spark).split(":")[-1] in f for f in out.inputFiles())
+
+
+def test_many_customers_keep_their_zones(spark, tmp_path):
+    """Keys of six digits stay whole: as many zones as customers."""
+    customers = spark.range(1, 150_001).selectExpr("id AS c_custkey", "id % 25 AS c_nationkey", "cast(0 AS double) AS c_acctbal")
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(25).selectExpr("id AS n_nationkey", "concat('N', id) AS n_name", "id % 5 AS n_regionkey").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.range(5).selectExpr("id AS r_regionkey", "concat('R', id) AS r_name").write.parquet(str(tmp_path / "region.parquet"))
+    assert tables.table(spark, str(tmp_path), "zones").select("zone").distinct().count() == 150_000
