@@ -9,10 +9,9 @@ shingle sets, and of each component of similar lines the first in order of docum
 
 Equal lines are one from the start.  The lines of a band's bucket are compared with its centre, the
 most frequent of them; those that are similar to it are linked, so pairs among them need no look.
-Lines that differ from their centre meet the others of that centre that share a shingle the centre
-does not hold; without one, what two sets have in common with the centre, and what not, bounds their
-similarity, and few pairs reach the threshold.  Components come out as if all pairs had been looked
-at, and a group of near copies makes no pairs.
+Lines that differ from their centre meet the others of that centre: what two sets have in common with
+it, and what they share besides, bounds their similarity, and few pairs reach the threshold.
+Components come out as if all pairs had been looked at, and a group of near copies makes no pairs.
 """
 from __future__ import annotations
 
@@ -103,23 +102,21 @@ def linked(lines: DataFrame, counts: DataFrame, threshold: float = THRESHOLD) ->
     own, common = F.array_except("sv", "su"), F.size(F.array_intersect("sv", "su"))
     stars = _with_sets(pairs, sets).select(F.col("u").alias("centre"), "v", own.alias("own"), common.alias("common"), _alike(threshold).alias("alike"))
     stars = written(stars)
-    side = lambda name: (F.col("v").alias(name), F.size("own").alias(f"own_{name}"), F.col("common").alias(f"common_{name}"))
-    far = stars.filter("NOT alike")
-    token = F.explode("own").alias("token")
-    sharing = far.select("centre", token, *side("a")).join(stars.select("centre", token, *side("b")), ["centre", "token"])
-    size_a, size_b = F.col("own_a") + F.col("common_a"), F.col("own_b") + F.col("common_b")
-    sharing = sharing.filter((F.col("a") != F.col("b")) & (F.least(size_a, size_b) >= threshold * F.greatest(size_a, size_b) - 1e-9))
-    # Without a shingle in common but those of the centre, the union holds both lines' own ones.
-    reach = F.least("common_a", "common_b") >= threshold * (F.greatest("common_a", "common_b") + F.col("own_a") + F.col("own_b")) - 1e-9
-    apart = far.select("centre", *side("a")).join(stars.select("centre", *side("b")), "centre").filter((F.col("a") != F.col("b")) & reach)
-    rest = sharing.select("a", "b").union(apart.select("a", "b")).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    # Of two lines of one centre, what both have from elsewhere, and the smaller part of it, bounds what
+    # they share; few pairs stay that way, each once.
+    side = lambda name: (F.col("v").alias(name), F.col("own").alias(f"own_{name}"), F.col("common").alias(f"common_{name}"))
+    met = stars.filter("NOT alike").select("centre", *side("a")).join(stars.select("centre", *side("b")), "centre")
+    total = F.size("own_a") + F.size("own_b") + F.col("common_a") + F.col("common_b")
+    reach = lambda shared: (shared + F.least("common_a", "common_b")) * (1 + threshold) >= threshold * total - 1e-9
+    near = reach(F.least(F.size("own_a"), F.size("own_b"))) & reach(F.size(F.array_intersect("own_a", "own_b")))
+    rest = met.filter((F.col("a") != F.col("b")) & near).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
     found = stars.filter("alike").select(F.col("centre").alias("u"), "v")
     return components(found.union(_with_sets(rest, sets).filter(_alike(threshold)).select("u", "v")))
 
 
-def duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """(key, n_lines, removed): for each distinct row key the number of its lines that aren't blank,
-    and the numbers, from 0, of the lines to go; rows without such lines are left out."""
+def duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """(key, line_no) of all lines that aren't blank, and (key, removed): for row keys that lose lines
+    their numbers, from 0."""
     lines = _lines(df, id_col, text)
     places = written(lines.select("key", "line_no", "h").distinct())  # repeated rows are one document
     order = F.struct(F.col("key.id").isNull().alias("none"), "key", "line_no")
@@ -129,10 +126,8 @@ def duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", thresh
     first = written(first.select("h", F.coalesce("root", "h").alias("root"), "first"))
     kept = first.groupBy("root").agg(F.min("first").alias("kept"))
     repeated = first.join(kept, "root").select("h", "kept")
-    met = places.join(repeated, "h", "left")
-    gone = F.col("kept").isNotNull() & (F.col("kept") != F.struct(F.col("key.id").isNull().alias("none"), "key", "line_no"))
-    numbers = F.array_sort(F.collect_list(F.when(gone, F.col("line_no"))))  # at most the lines of one text
-    return met.groupBy("key").agg(F.count("*").alias("n_lines"), numbers.alias("removed"))
+    gone = places.join(repeated, "h").filter(F.col("kept") != order).groupBy("key")
+    return places.select("key", "line_no"), gone.agg(F.array_sort(F.collect_list("line_no")).alias("removed"))  # at most the lines of one text
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -143,8 +138,9 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", thresh
     have none.  Rows that agree in id and text are one document and lose the same lines.  Further
     columns are not read.
     """
+    places, gone = duplicates(df, id_col, text, threshold)
     rows = df.select(row_key(id_col, text).alias("key"))
-    met = rows.join(duplicates(df, id_col, text, threshold), "key", "left")
+    met = rows.join(places.groupBy("key").agg(F.count("*").alias("n_lines")), "key", "left").join(gone, "key", "left")
     return met.select(
         F.col("key.id").alias(id_col),
         F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
@@ -156,7 +152,8 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", thresh
 def without_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """df with the removed lines taken out of its texts; all rows and columns stay.  A text whose
     lines all stand elsewhere is empty; null stays null."""
-    found = duplicates(df, id_col, text, threshold).filter(F.size("removed") > 0).select(F.col("key").alias("_key"), F.col("removed").alias("_removed"))
+    _, gone = duplicates(df, id_col, text, threshold)
+    found = gone.select(F.col("key").alias("_key"), F.col("removed").alias("_removed"))
     met = df.withColumn("_key", row_key(id_col, text)).join(found, "_key", "left")
     kept = F.filter(F.split(F.col(text), "\n"), lambda line, n: ~F.array_contains("_removed", n))
     new = F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
