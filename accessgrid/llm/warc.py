@@ -5,7 +5,7 @@ line ends with the length of the content that follows.  The converter reads thos
 record a WARC record: an identifier from file and offset, an ISO date from the 14 digits, SHA-1
 digests, and the type `revisit` where a record with an equal payload comes first.
 
-Archives are written by Spark's text sink, a row for each file, so no task holds more than
+Archives are written by Spark's text sink, gzipped, a row for each file, so no task holds more than
 ARCHIVE_BYTES (or one record, if that is longer) and a lost executor's files are written again.
 """
 from __future__ import annotations
@@ -82,7 +82,7 @@ def _batches(values: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
 
 def _write_files(files: DataFrame, path: str, separator: str) -> str:
     text = files.select(F.col("value").cast("string").alias("value"))
-    text.write.option("lineSep", separator).option("maxRecordsPerFile", 1).text(path)
+    text.write.option("lineSep", separator).option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
     return path
 
 
