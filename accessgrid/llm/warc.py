@@ -82,7 +82,8 @@ def _batches(values: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
 
 def _write_files(files: DataFrame, path: str, separator: str) -> str:
     text = files.select(F.col("value").cast("string").alias("value"))
-    text.write.option("lineSep", separator).option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    sink = text.write.option("lineSep", separator).option("maxRecordsPerFile", 1)
+    sink.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
     return path
 
 
