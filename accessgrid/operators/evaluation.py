@@ -1,4 +1,8 @@
-"""Scores against labels as relational queries."""
+"""Scores against labels as relational queries.
+
+Rows without a label take no part.  A row without a score is not flagged at any threshold and
+ranks below all rows with one.
+"""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +15,7 @@ from accessgrid.operators.ranking import exact_quantiles, running_totals
 
 def confusion(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
     """One row: tp, fp, fn, tn and the ratios built from them."""
-    y, hit = F.col(label) == 1, F.col(score) >= threshold
+    y, hit = F.col(label) == 1, F.coalesce(F.col(score) >= threshold, F.lit(False))
     row = df.agg(
         F.count(F.when(y & hit, 1)).alias("tp"),
         F.count(F.when(~y & hit, 1)).alias("fp"),
@@ -31,10 +35,10 @@ def with_ratios(counts: DataFrame) -> DataFrame:
 
 
 def score_curve(df: DataFrame, label: str, score: str, groups: list[str] | None = None) -> DataFrame:
-    """Per distinct score, best first: rows and positives at it, before it and overall."""
-    positives = (F.col(label) == 1).cast("bigint")
-    weights = {"n": F.lit(1), "pos": F.coalesce(positives, F.lit(0))}
-    return running_totals(df, score, weights, groups, descending=True)
+    """Per distinct score, best first and NULL last: rows and positives at it, before it and overall."""
+    weights = {"n": F.lit(1), "pos": (F.col(label) == 1).cast("bigint")}
+    labelled = df.where(F.col(label).isNotNull())
+    return running_totals(labelled, score, weights, groups, descending=True, keep_null=True)
 
 
 def _precision() -> Column:
@@ -47,7 +51,8 @@ def average_precision(
     """Precision at every distinct score, weighted by the recall gained there."""
     groups = groups or []
     curve = score_curve(df, label, score, groups)
-    gained = F.when(F.col("all_pos") > 0, F.col("pos") / F.col("all_pos"))
+    flagged = F.col(score).isNotNull() & (F.col("all_pos") > 0)
+    gained = F.when(flagged, F.col("pos") / F.col("all_pos"))
     return curve.groupBy(*groups).agg(F.coalesce(F.sum(gained * _precision()), F.lit(0.0)).alias(out))
 
 
@@ -72,7 +77,8 @@ def precision_at_recall(
     """Best precision over the score cuts that reach the target recall; NULL if none does."""
     curve = score_curve(df, label, score)
     recall = (F.col("before_pos") + F.col("pos")) / F.col("all_pos")
-    reached = F.when((F.col("all_pos") > 0) & (recall >= target), _precision())
+    possible = F.col(score).isNotNull() & (F.col("all_pos") > 0)
+    reached = F.when(possible & (recall >= target), _precision())
     return curve.agg(F.max(reached).alias(out))
 
 
@@ -84,13 +90,12 @@ def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: list[floa
     """
     grid = sorted(thresholds)
     levels = F.array(*[F.lit(t) for t in grid])
-    folded = df.groupBy(score).agg(
+    # A comparison with NULL passes no filter, so a row without score reaches none.
+    reached = F.size(F.filter(levels, lambda t: F.col(score) >= t))
+    by_level = df.groupBy(reached.alias("level")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("pos"),
         F.count(F.when(F.col(label) == 0, 1)).alias("neg"),
     )
-    reached = F.size(F.filter(levels, lambda t: F.col(score) >= t))
-    by_level = folded.groupBy(F.coalesce(reached, F.lit(0)).alias("level"))
-    by_level = by_level.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     every = df.sparkSession.createDataFrame(
         [(i, t) for i, t in enumerate([None, *grid])], "level int, threshold double"
     )

@@ -80,9 +80,3 @@ def match_flag(fact: DataFrame, dim: DataFrame, key: str, flag: str = "matched")
     """Whether the key exists in the dimension, apart from what its columns hold."""
     known = dim.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
     return lookup_left(fact, known, [key]).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-
-
-def map_lookup(mapping: dict[str, str], key: Column) -> Column:
-    """Small fixed dictionary as a map literal; unknown or NULL keys give NULL."""
-    pairs = [F.lit(x) for item in mapping.items() for x in item]
-    return F.create_map(*pairs)[key]

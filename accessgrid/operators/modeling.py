@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accessgrid.functions.constants import DESERT_MILES, RISK_THRESHOLD
+from accessgrid.functions.constants import RISK_THRESHOLD
 from accessgrid.operators import evaluation as ev
 from accessgrid.operators.ranking import exact_quantiles
 from accessgrid.operators.splits import spatial_scope, stratified_split
@@ -71,7 +71,7 @@ def count_regressor(label: str, seed: int = 42, **params) -> GBTRegressor:
     return GBTRegressor(labelCol=label, seed=seed, **{**COUNT_PARAMS, **params})
 
 
-def poisson(label: str, max_iter: int = 25) -> GeneralizedLinearRegression:
+def poisson(label: str, max_iter: int = 2000) -> GeneralizedLinearRegression:
     return GeneralizedLinearRegression(
         family="poisson", link="log", labelCol=label, regParam=POISSON_REG, maxIter=max_iter
     )
@@ -185,7 +185,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def flags_agree(df: DataFrame) -> DataFrame:
-    return ev.agreement(df, "predicted_prob", "predicted_miles", RISK_THRESHOLD, DESERT_MILES)

@@ -1,8 +1,8 @@
 """Ranks, quantiles, normalisation and top-N that never sort a whole group in one task.
 
-Equal values are folded into one row with a count first.  If what is left is many rows,
-values are split into ranges of about equal size; each range is sorted on its own and the
-range totals give every range its offset.
+Equal values are folded into one row with a count first.  What is left is split into ranges
+of about equal size; each range is sorted on its own and the range totals give every range
+its offset.
 """
 from __future__ import annotations
 
@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from accessgrid.operators.lookup import HOT_SALTS, hot_keys, lookup_left, lookup_small
 from accessgrid.storage import materialize
 
-DIRECT_ROWS = 200_000
-MAX_RANGES = 1024
-HASH_PREFIX = 3
-
 
 def running_totals(
     df: DataFrame,
@@ -23,48 +19,18 @@ def running_totals(
     weights: dict[str, Column],
     groups: list[str] | None = None,
     descending: bool = False,
-    direct_rows: int = DIRECT_ROWS,
+    keep_null: bool = False,
 ) -> DataFrame:
     """Per distinct (groups, value): each weight's sum, ``before_<w>`` and ``all_<w>``.
 
     ``before_<w>`` is the sum over the values that come first, ``all_<w>`` the group's sum.
+    NULL values are left out, or with ``keep_null`` are one more value below all others.
     """
-    groups = groups or []
-    folded = df.where(F.col(value).isNotNull()).groupBy(*groups, value)
-    folded = materialize(folded.agg(*[F.sum(w).alias(n) for n, w in weights.items()]))
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    n_values = folded.count()
-    if n_values <= direct_rows:
-        earlier = (
-            Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        out = folded
-        for n in weights:
-            out = out.withColumn(f"before_{n}", F.coalesce(F.sum(n).over(earlier), F.lit(0)))
-            out = out.withColumn(f"all_{n}", F.sum(n).over(Window.partitionBy(*groups)))
-        return out
-    ranges = min(MAX_RANGES, n_values // max(direct_rows, 1) + 1)
-    return _running_totals_by_range(folded, value, list(weights), groups, descending, ranges)
-
-
-def _running_totals_by_range(
-    folded: DataFrame, value: str, names: list[str], groups: list[str], descending: bool, ranges: int
-) -> DataFrame:
-    # The cuts are approximate, so they are written down once: every later step must see
-    # the same ones.  One array of fewer than ``ranges`` cuts per group.
+    groups, names = groups or [], list(weights)
     order = F.col(value).desc() if descending else F.col(value).asc()
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = folded.groupBy(*groups).agg(
-        F.array_distinct(F.percentile_approx(value, steps, 10 * ranges)).alias("_cuts")
-    )
-    cuts = materialize(cuts)
-    if groups:
-        ranged = lookup_small(folded, cuts, groups, null_safe=True)
-    else:
-        ranged = folded.withColumn("_cuts", cuts.scalar())
-    below = F.size(F.filter("_cuts", lambda c: c <= F.col(value)))
-    number = -below if descending else below
-    ranged = materialize(ranged.withColumn("_range", number).drop("_cuts"))
+    rows = df if keep_null else df.where(F.col(value).isNotNull())
+    folded = rows.groupBy(*groups, value).agg(*[F.sum(w).alias(n) for n, w in weights.items()])
+    ranged = numbered_ranges(folded, [*groups, value], "_range")
 
     in_range = Window.partitionBy(*groups, "_range").orderBy(order)
     in_range = in_range.rowsBetween(Window.unboundedPreceding, -1)
@@ -72,9 +38,11 @@ def _running_totals_by_range(
     for n in names:
         inner = inner.withColumn(f"_in_{n}", F.coalesce(F.sum(n).over(in_range), F.lit(0)))
 
+    # One row per group and range it reaches into: at most groups + ranges of them.
     totals = ranged.groupBy(*groups, "_range").agg(*[F.sum(n).alias(f"_sum_{n}") for n in names])
     by_group = Window.partitionBy(*groups)
-    earlier = by_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_range").desc() if descending else F.col("_range").asc()
+    earlier = by_group.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
     for n in names:
         totals = totals.withColumn(
             f"_start_{n}", F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0))
@@ -87,6 +55,16 @@ def _running_totals_by_range(
     return joined.drop("_range", *extra)
 
 
+def numbered_ranges(df: DataFrame, by: list[str], out: str) -> DataFrame:
+    """Rows with the number of the range they fall in; ranges follow the order of ``by``.
+
+    The ranges are those of a sorted table's partitions: Spark draws the cuts from a sample and
+    makes as many as the session and the size ask for, whatever the groups.  The numbers are
+    written down, so that every later step sees the same ones.
+    """
+    return materialize(df.repartitionByRange(*by).withColumn(out, F.spark_partition_id()))
+
+
 def average_rank(
     df: DataFrame, value: str, out: str, groups: list[str] | None = None, share: bool = True
 ) -> DataFrame:
@@ -120,11 +98,6 @@ def exact_quantiles(
     return totals.groupBy(*groups).agg(*out)
 
 
-def exact_quantile(df: DataFrame, value: str, p: float) -> Column:
-    """One quantile as a scalar subquery."""
-    return exact_quantiles(df, value, {"q": p}).scalar()
-
-
 def min_max_normalise(df: DataFrame, columns: list[str], suffix: str = "_norm") -> DataFrame:
     """Columns scaled to 0..1 over all rows; a flat column gives 0."""
     ends = [
@@ -163,11 +136,11 @@ def seeded_hash(key: Column, seed: int | Column) -> Column:
 def hash_position(df: DataFrame, key: str, seed: int, groups: list[str], out: str) -> DataFrame:
     """Position 1..n of each row within its group in seeded hash order.
 
-    The hash is uniform, so its first characters split a group into even parts; parts are
-    numbered on their own and shifted by the sizes of the parts before.
+    Hash order is cut into ranges that are numbered on their own and shifted by the sizes of
+    the ranges before.
     """
     hashed = df.withColumn("_hash", seeded_hash(F.col(key), seed))
-    hashed = hashed.withColumn("_part", F.substring("_hash", 1, HASH_PREFIX))
+    hashed = numbered_ranges(hashed, [*groups, "_hash", key], "_part")
     within = Window.partitionBy(*groups, "_part").orderBy("_hash", key)
     numbered = hashed.withColumn("_at", F.row_number().over(within))
     sizes = hashed.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_size"))

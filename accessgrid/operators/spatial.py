@@ -117,18 +117,34 @@ def _leaf_cells(df: DataFrame, grid: Grid) -> DataFrame:
     return df.select("*", *_cell_columns(grid, _axes(df), grid.level))
 
 
-def _cells_at(leaf: DataFrame, dims: int, shift: int, prefix: str, aggs: list[Column]) -> DataFrame:
-    """Occupied cells some levels above the finest, with the box their points really fill."""
-    cells = [F.shiftright(f"_c{i}", shift).alias(f"{prefix}{i}") for i in range(dims)]
+def _finest_cells(leaf: DataFrame, dims: int, prefix: str, aggs: list[Column]) -> DataFrame:
+    """Occupied finest cells with the box their points, or things with ends, really fill.
+
+    The points are read for this once; all coarser levels are built from these cells.
+    """
+    ends = {"lo": F.min, "hi": F.max}
+    extended = "_lo0" in leaf.columns
+    box = [
+        f(f"_{end}{i}" if extended else f"_x{i}").alias(f"{prefix}_{end}{i}")
+        for i in range(dims)
+        for end, f in ends.items()
+    ]
+    cells = [F.col(f"_c{i}").alias(f"{prefix}{i}") for i in range(dims)]
+    return materialize(leaf.groupBy(*cells).agg(*aggs, *box))
+
+
+def _cells_at(finest: DataFrame, dims: int, shift: int, prefix: str, aggs: list[Column]) -> DataFrame:
+    """The cells some levels above the finest ones; ``aggs`` are sums or extremes of their own results."""
+    cells = [F.shiftright(f"{prefix}{i}", shift).alias(f"{prefix}{i}") for i in range(dims)]
     box = [
-        f(f"_x{i}").alias(f"{prefix}_{end}{i}")
+        f(f"{prefix}_{end}{i}").alias(f"{prefix}_{end}{i}")
         for i in range(dims)
         for f, end in ((F.min, "lo"), (F.max, "hi"))
     ]
-    return leaf.groupBy(*cells).agg(*aggs, *box)
+    return finest.groupBy(*cells).agg(*aggs, *box)
 
 
-def _pair_bounds(dims: int, pad: float) -> tuple[Column, Column]:
+def _pair_bounds(dims: int) -> tuple[Column, Column]:
     """Least and greatest distance between the points of two boxes."""
     gaps, spans = [], []
     for i in range(dims):
@@ -137,23 +153,22 @@ def _pair_bounds(dims: int, pad: float) -> tuple[Column, Column]:
         gaps.append(F.greatest(right, left, F.lit(0.0)))
         spans.append(F.greatest(F.col(f"t_hi{i}") - F.col(f"q_lo{i}"), F.col(f"q_hi{i}") - F.col(f"t_lo{i}")))
     low, high = (F.sqrt(reduce(Column.__add__, [d * d for d in ds])) for ds in (gaps, spans))
-    return F.greatest(low - F.lit(pad), F.lit(0.0)), high + F.lit(pad)
+    return low, high
 
 
 def _next_pairs(
     open_pairs: DataFrame | None,
-    queries: DataFrame,
-    targets: DataFrame,
+    q_cells: DataFrame,
+    t_cells: DataFrame,
     grid: Grid,
     level: int,
     previous: int,
     target_aggs: list[Column],
-    pad: float = 0.0,
 ) -> DataFrame:
     """Children of the open cell pairs at ``level`` with their distance bounds."""
     dims = len(grid.low)
-    q = _cells_at(queries, dims, grid.level - level, "q", [F.count(F.lit(1)).alias("q_n")])
-    t = _cells_at(targets, dims, grid.level - level, "t", target_aggs)
+    q = _cells_at(q_cells, dims, grid.level - level, "q", [])
+    t = _cells_at(t_cells, dims, grid.level - level, "t", target_aggs)
     step = level - previous
 
     def parent(prefix: str) -> list[Column]:
@@ -172,16 +187,18 @@ def _next_pairs(
             *[F.col(f"t{i}").alias(pt[i]) for i in range(dims)],
         )
         pairs = _spread_out(renamed, pq, grid).join(q, pq).join(t, pt)
-    low, high = _pair_bounds(dims, pad)
+    low, high = _pair_bounds(dims)
     boxes = [f"{p}_{end}{i}" for p in "qt" for end in ("lo", "hi") for i in range(dims)]
     return pairs.withColumns({"low": low, "high": high}).drop(*pq, *pt, *boxes)
 
 
 def _nearest_candidates(
-    queries: DataFrame, targets: DataFrame, grid: Grid, k: int, payload: list[str], pad: float = 0.0
+    queries: DataFrame, targets: DataFrame, grid: Grid, k: int, payload: list[str], held: str | None = None
 ) -> DataFrame:
     """Query points with all targets that can be among their k nearest, as arrays.
 
+    ``held`` names the column with the number of rows a target stands for, else it is one.
+
     Returns the query columns and ``near``, an array of target structs.  A finest cell's
     targets travel as one short array, and the arrays a query cell needs are put together
     once for all its points, so no (point, target) rows are shuffled.  Where a query cell
@@ -189,11 +206,12 @@ def _nearest_candidates(
     """
     dims = len(grid.low)
     q_key, t_key = [f"q{i}" for i in range(dims)], [f"t{i}" for i in range(dims)]
+    q_cells = _finest_cells(queries, dims, "q", [])
+    stands_for = F.col(held) if held else F.lit(1)
+    t_boxes = _finest_cells(targets, dims, "t", [F.sum(stands_for).alias("n")])
     pairs, previous = None, 0
     for level in grid.levels():
-        pairs = _next_pairs(
-            pairs, queries, targets, grid, level, previous, [F.count(F.lit(1)).alias("n")], pad
-        )
+        pairs = _next_pairs(pairs, q_cells, t_boxes, grid, level, previous, [F.sum("n").alias("n")])
         if level == grid.level:
             pairs = _spread_out(pairs, q_key, grid)  # the window below needs no other shuffle
         by_cell = Window.partitionBy(*q_key)
@@ -210,7 +228,7 @@ def _nearest_candidates(
         if level == grid.level:
             rows = F.ceil(F.sum("n").over(by_cell) / CANDIDATES_PER_ROW)
             pairs = pairs.withColumn("near_row", F.pmod(F.xxhash64(*t_key), rows))
-        pairs = pairs.drop("low", "high", "held", "reach", "q_n", "n")
+        pairs = pairs.drop("low", "high", "held", "reach", "n")
         previous = level
     t_cells = targets.withColumnsRenamed({f"_c{i}": c for i, c in enumerate(t_key)})
     t_cells = t_cells.groupBy(*t_key).agg(F.collect_list(F.struct(*payload)).alias("cell"))
@@ -335,25 +353,29 @@ def nearest_neighbours(
     usable = usable.where(finite(F.col(lat)) & finite(F.col(lon)))
     queries = _with_axes(_coordinates(usable, lat, lon), [F.col("q_lat"), F.col("q_lon")])
     same_place = Window.partitionBy(lat, lon).orderBy(key)
+    # One target per coordinate, so that the depth of the grid depends on distinct ones only.
     targets = (
         usable.select(key, lat, lon, *payload)
         .withColumn("copy", F.row_number().over(same_place))
         .where(F.col("copy") <= k)
-        .drop("copy")
-        .withColumnsRenamed({lat: "t_lat", lon: "t_lon"})
+        .groupBy(F.col(lat).alias("t_lat"), F.col(lon).alias("t_lon"))
+        .agg(F.collect_list(F.struct(key, *payload)).alias("copies"), F.count(F.lit(1)).alias("t_rows"))
     )
     targets = _with_axes(targets, [F.col("t_lat"), F.col("t_lon")])
     grid, queries, targets = _finest(queries, targets)
-    near = _nearest_candidates(queries, targets, grid, k, ["t_lat", "t_lon", key, *payload])
+    near = _nearest_candidates(queries, targets, grid, k, ["t_lat", "t_lon", "copies"], held="t_rows")
 
-    def neighbour(t: Column) -> Column:
+    def neighbours(t: Column) -> Column:
         d_lat, d_lon = F.col("q_lat") - t["t_lat"], F.col("q_lon") - t["t_lon"]
         square = d_lat * d_lat + d_lon * d_lon
-        return F.struct(
-            square.alias("distance2"), t[key].alias(key), *[t[c].alias(c) for c in payload]
+        return F.transform(
+            t["copies"],
+            lambda c: F.struct(
+                square.alias("distance2"), c[key].alias(key), *[c[p].alias(p) for p in payload]
+            ),
         )
 
-    first = F.slice(F.array_sort(F.transform("near", neighbour)), 1, k)
+    first = F.slice(F.array_sort(F.flatten(F.transform("near", neighbours))), 1, k)
     ranked = Window.partitionBy("q_lat", "q_lon").orderBy("distance2", key)
     return (
         near.select("q_lat", "q_lon", F.explode(first).alias("hit"))
@@ -391,7 +413,8 @@ def nearest_segment(
     """Each row with the planar (projected) miles to the nearest segment.
 
     Segments (lat1, lon1, lat2, lon2) are cut into pieces of bounded length for the search
-    only; the distance itself is taken to the whole segment.
+    only, and a cell of pieces has the box of their ends; the distance itself is taken to the
+    whole segment.
     """
     x, y = albers_xy(F.col("q_lat"), F.col("q_lon"))
     queries = _coordinates(df, lat, lon).select("q_lat", "q_lon", "q_rows", x.alias("qx"), y.alias("qy"))
@@ -415,19 +438,17 @@ def nearest_segment(
     targets = (
         ends.select("*", count.alias("pieces"))
         .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)).alias("i"))
-        .withColumn("mid", (F.col("i") + 0.5) / F.col("pieces"))
     )
-    targets = _with_axes(
-        targets,
-        [
-            F.col("x1") + F.col("mid") * (F.col("x2") - F.col("x1")),
-            F.col("y1") + F.col("mid") * (F.col("y2") - F.col("y1")),
-        ],
-    ).drop("pieces", "i", "mid")
+
+    def at(share: Column) -> list[Column]:
+        return [F.col(f"{a}1") + share * (F.col(f"{a}2") - F.col(f"{a}1")) for a in "xy"]
+
+    first, last = at(F.col("i") / F.col("pieces")), at((F.col("i") + 1) / F.col("pieces"))
+    box = [f(a, b).alias(f"_{end}{n}") for n, (a, b) in enumerate(zip(first, last)) for f, end in ((F.least, "lo"), (F.greatest, "hi"))]
+    middle = at((F.col("i") + 0.5) / F.col("pieces"))
+    targets = _with_axes(targets.select("*", *box), middle).drop("pieces", "i")
     grid, queries, targets = _finest(queries, targets)
-    near = _nearest_candidates(
-        queries, targets, grid, 1, ["x1", "y1", "x2", "y2"], pad=piece / 2 * (1 + RELATIVE_SLACK)
-    )
+    near = _nearest_candidates(queries, targets, grid, 1, ["x1", "y1", "x2", "y2"])
     metres = F.transform(
         "near",
         lambda t: point_segment_distance(
@@ -446,9 +467,11 @@ def _radius_states(
     dims = len(grid.low)
     chord = chord_of_miles(miles)
     inside = (F.col("high") < F.lit(chord * (1 - RELATIVE_SLACK))) & settled
+    q_cells = _finest_cells(queries, dims, "q", [])
+    t_cells = _finest_cells(targets, dims, "t", aggs)
     covers, open_pairs, previous = [], None, 0
     for level in grid.levels():
-        pairs = _next_pairs(open_pairs, queries, targets, grid, level, previous, aggs)
+        pairs = _next_pairs(open_pairs, q_cells, t_cells, grid, level, previous, aggs)
         pairs = pairs.where(F.col("low") <= F.lit(chord * (1 + RELATIVE_SLACK)))
         pairs = materialize(pairs.withColumn("inside", inside))
         covers.append((level, pairs.where("inside")))
@@ -473,21 +496,27 @@ def pairs_within(
     The pairs are the result here; for per-center totals use :func:`coverage_totals`,
     which does not build them.
     """
-    c = centers.where(finite(F.col(lat)) & finite(F.col(lon))).select(
-        center_id, F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon")
-    )
-    p = points.where(finite(F.col(lat)) & finite(F.col(lon))).select(
-        point_id, F.col(lat).alias("t_lat"), F.col(lon).alias("t_lon")
-    )
+    c = _coordinates(centers, lat, lon)
+    p = _coordinates(points, lat, lon).withColumnsRenamed({"q_lat": "t_lat", "q_lon": "t_lon", "q_rows": "t_rows"})
     c = _with_axes(c, unit_vector(F.col("q_lat"), F.col("q_lon")))
     p = _with_axes(p, unit_vector(F.col("t_lat"), F.col("t_lon")))
     grid, c, p = _finest(c, p)
-    none = [F.count(F.lit(1)).alias("n")]
-    _, leaf = _radius_states(c, p, grid, miles, none, F.lit(False))
+    _, leaf = _radius_states(c, p, grid, miles, [], F.lit(False))
     d = miles_of_haversine(_haversine_of_pair())
     leaf = _spread_out(leaf, [f"q{i}" for i in range(len(grid.low))], grid)
-    met = _meet(leaf, c, p, len(grid.low)).select(center_id, point_id, d.alias("miles"))
-    return met.where(F.col("miles") <= miles)
+    met = _meet(leaf, c, p, len(grid.low)).select("q_lat", "q_lon", "t_lat", "t_lon", d.alias("miles"))
+    places = met.where(F.col("miles") <= miles)
+
+    # Ids come back to the pairs of places; rows of frequent places are spread over slots.
+    def rows_of(df: DataFrame, key: str, side: str, rows: DataFrame, found: DataFrame) -> DataFrame:
+        at = [f"{side}_lat", f"{side}_lon"]
+        own = df.select(F.col(key).alias(f"{side}_key"), F.col(lat).alias(at[0]), F.col(lon).alias(at[1]))
+        hot = hot_keys(rows, at, f"{side}_rows")
+        joined = lookup_left(own, found, at, salts=HOT_SALTS, hot=hot)
+        return joined.where(F.col("miles").isNotNull()).drop(*at)
+
+    met = rows_of(points, point_id, "t", p, rows_of(centers, center_id, "q", c, places))
+    return met.select(F.col("q_key").alias(center_id), F.col("t_key").alias(point_id), "miles")
 
 
 def coverage_totals(

@@ -56,7 +56,7 @@ def region_fallback(spark, sf_dir):
     """Region taken from the table, and looked up by state when the table has none."""
     base = table(spark, sf_dir, "zones")
     own = zones.standard_region(base, None, "region_own").select("zone", "region_own")
-    known = table(spark, sf_dir, "state_regions").where(F.col("region") != "EUROPE")
+    known = table(spark, sf_dir, "states_placed")
     found = zones.standard_region(base.drop("region"), known, "region_found")
     return own.join(found.select("zone", "region_found"), "zone")
 

@@ -18,7 +18,6 @@ RAW_COLUMNS = [
 ]
 LAT_BOX, LON_BOX = (31.0, 41.0), (-108.0, -92.0)
 MAP_LAT, MAP_LON = (24.0, 50.0), (-125.0, -66.0)
-YEARS = (1996, 2000)
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,22 +87,15 @@ def distinct_keep_last(spark, sf_dir):
 
 
 def unmapped_keys(spark, sf_dir):
-    dim = table(spark, sf_dir, "state_regions").where(F.col("region") != "ASIA")
-    return quality.unmapped_keys(cleaned_stations(spark, sf_dir), dim, "state")
-
-
-def _census(spark, sf_dir) -> DataFrame:
-    """Zones under their key in the station table; one in nine is not covered by the census."""
-    zone = table(spark, sf_dir, "zones").select(
-        F.col("zone").alias("zip"), F.col("population"), F.col("income"), "lat", "lon"
+    return quality.unmapped_keys(
+        cleaned_stations(spark, sf_dir), table(spark, sf_dir, "states_named"), "state"
     )
-    return zone.where(F.col("zip").cast("int") % 9 != 0)
 
 
 def enriched_stations(spark, sf_dir):
     joined = lookup_left(
         cleaned_stations(spark, sf_dir).select("id", "zip", "state", "total_ports"),
-        _census(spark, sf_dir).drop("lat", "lon"),
+        table(spark, sf_dir, "census"),
         ["zip"],
     )
     return rounded(joined)
@@ -111,7 +103,7 @@ def enriched_stations(spark, sf_dir):
 
 def join_match_review(spark, sf_dir):
     return quality.match_review(
-        cleaned_stations(spark, sf_dir), _census(spark, sf_dir), "zip", "state", "income"
+        cleaned_stations(spark, sf_dir), table(spark, sf_dir, "census"), "zip", "state", "income"
     )
 
 
@@ -159,8 +151,7 @@ def report_by_month(spark, sf_dir):
 
 
 def report_type_by_year(spark, sf_dir):
-    stations = cleaned_stations(spark, sf_dir).where(F.col("install_year").between(*YEARS))
-    return reports.count_report(stations, ["install_year", "charger_level"])
+    return reports.count_report(cleaned_stations(spark, sf_dir), ["install_year", "charger_level"])
 
 
 def report_by_network(spark, sf_dir):
@@ -196,7 +187,6 @@ def _sum(c: str, name: str | None = None) -> str:
     return f"cast(sum({c}) AS bigint) AS {name or c}"
 
 
-CENSUS_SQL = "(SELECT zone AS zip, population, income FROM [zones] WHERE cast(zone AS int) % 9 <> 0)"
 ROLLUP_SQL = (
     "(SELECT zip, state, region, count(id) AS total_stations, "
     + ", ".join([_sum("is_dcfc", "dcfc_stations"), _sum("total_ports"), _sum("level2_ports", "total_level2_ports"), _sum("dcfc_ports", "total_dcfc_ports")])
@@ -320,15 +310,15 @@ ORACLES = {
         "QUALIFY row_number() OVER (PARTITION BY zip ORDER BY opened DESC, id DESC) = 1"
     ),
     "unmapped_keys": check(
-        "SELECT DISTINCT state FROM [stations] WHERE state NOT IN (SELECT state FROM [state_regions] WHERE region <> 'ASIA')"
+        "SELECT DISTINCT state FROM [stations] WHERE state IN (SELECT state FROM [state_regions] WHERE region = 'ASIA')"
     ),
     "enriched_stations": pick(
-        f"(SELECT s.id, s.zip, s.state, s.total_ports, c.population, c.income FROM [stations] s LEFT JOIN {CENSUS_SQL} c ON c.zip = s.zip)",
+        f"(SELECT s.id, s.zip, s.state, s.total_ports, c.population, c.income FROM [stations] s LEFT JOIN [census] c ON c.zip = s.zip)",
         "id zip state total_ports", "population income",
     ),
     "join_match_review": check(
         "SELECT s.state, count(*) AS rows_total, count(c.zip) AS rows_matched, count(c.income) AS rows_with_value, "
-        f"count(*) - count(c.zip) AS rows_unmatched FROM [stations] s LEFT JOIN {CENSUS_SQL} c ON c.zip = s.zip GROUP BY s.state"
+        f"count(*) - count(c.zip) AS rows_unmatched FROM [stations] s LEFT JOIN [census] c ON c.zip = s.zip GROUP BY s.state"
     ),
     "zone_station_rollup": pick(
         ROLLUP_SQL, "zip state region " + " ".join(zones.ROLLUP_COUNTS), "station_lat station_lon"
@@ -350,9 +340,7 @@ ORACLES = {
         "SELECT *, strftime(make_date(2000, install_month, 1), '%b') AS month_name FROM (SELECT install_month, count(*) AS station_count, "
         "cast(sum(total_ports) AS bigint) AS total_ports FROM [stations] WHERE install_month IS NOT NULL GROUP BY install_month)"
     ),
-    "report_type_by_year": _count_report_sql(
-        "install_year, charger_level", f"install_year BETWEEN {YEARS[0]} AND {YEARS[1]}"
-    ),
+    "report_type_by_year": _count_report_sql("install_year, charger_level"),
     "report_by_network": check(
         f"SELECT coalesce(ev_network, '{k.NO_NETWORK_LABEL}') AS ev_network, count(*) AS station_count, "
         "cast(sum(total_ports) AS bigint) AS total_ports FROM [stations] GROUP BY 1"

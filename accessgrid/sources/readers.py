@@ -1,8 +1,6 @@
 """File sources and report sinks."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -173,7 +171,3 @@ def write_report(df: DataFrame, path: str) -> None:
 def write_metrics(df: DataFrame, path: str) -> None:
     """JSON documents, one per row."""
     df.write.mode("overwrite").json(path)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

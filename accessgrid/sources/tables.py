@@ -79,6 +79,21 @@ FROM {labels} JOIN {documents} USING (doc_id)""",
 SELECT n_name AS state, r_name AS region
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     ),
+    # Three dimensions with gaps: zones without a key, states without a name or a region.
+    "census": (
+        ["zones", "customer"],
+        """
+SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE zone END AS zip, population, income
+FROM {zones} JOIN {customer} ON cast(zone AS bigint) = c_custkey""",
+    ),
+    "states_named": (
+        ["state_regions"],
+        "SELECT CASE WHEN region = 'ASIA' THEN NULL ELSE state END AS state, region FROM {state_regions}",
+    ),
+    "states_placed": (
+        ["state_regions"],
+        "SELECT state, CASE WHEN region = 'EUROPE' THEN NULL ELSE region END AS region FROM {state_regions}",
+    ),
 }
 
 

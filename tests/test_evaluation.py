@@ -38,6 +38,23 @@ def test_sweep_equals_single_confusions(scored):
             assert row[c] == want[c], (t, c)
 
 
+def test_rows_without_score_or_label(scored, spark):
+    """No label: no part.  No score: never flagged, below all others."""
+    gaps = spark.createDataFrame([(1, None), (0, None), (None, 0.95), (None, None)], "y int, score double")
+    rows = scored.unionByName(gaps)
+    lowest = scored.unionByName(gaps.where("y is not null").fillna(-1.0, subset=["score"]))
+    for t in (0.5, 0.7):
+        want = ev.confusion(lowest, "y", "score", t).first()
+        assert ev.confusion(rows, "y", "score", t).first() == want
+        swept = ev.threshold_sweep(rows, "y", "score", [t]).first()
+        assert all(swept[c] == want[c] for c in ("tp", "fp", "fn", "tn", "precision", "recall"))
+    assert ev.roc_auc(rows, "y", "score").first() == ev.roc_auc(lowest, "y", "score").first()
+    flagged = ev.average_precision(scored, "y", "score").first()[0]
+    assert ev.average_precision(rows, "y", "score").first()[0] == pytest.approx(flagged * 4 / 5)
+    assert ev.precision_at_recall(rows, "y", "score", 0.6).first()[0] == pytest.approx(0.6)
+    assert ev.precision_at_recall(rows, "y", "score", 1.0).first()[0] is None
+
+
 def test_recommended_threshold(scored):
     row = ev.recommend_threshold(scored, "y", "score", 0.7).first()
     assert row["feasible"] and row["threshold"] == 0.7 and row["precision"] == pytest.approx(0.6)

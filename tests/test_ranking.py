@@ -10,6 +10,21 @@ def frame(spark, rows, schema):
     return spark.createDataFrame(rows, schema)
 
 
+@pytest.fixture
+def ranges(spark):
+    """Sets the number of ranges; small tables are one range otherwise."""
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = {n: spark.conf.get(n) for n in names}
+
+    def use(n):
+        spark.conf.set(names[0], str(n))
+        spark.conf.set(names[1], "false")
+
+    yield use
+    for n, value in before.items():
+        spark.conf.set(n, value)
+
+
 def test_average_rank_share(spark):
     df = frame(spark, [(1, 1.0), (2, 2.0), (3, 2.0), (4, 4.0)], "k int, v double")
     got = [r["r"] for r in ranking.average_rank(df, "v", "r").orderBy("k").collect()]
@@ -43,7 +58,7 @@ def test_quantiles_of_nothing(spark):
 
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("groups", [[], ["g"]])
-def test_ranges_and_direct_sort_agree(spark, groups, descending):
+def test_many_ranges_and_one_agree(spark, groups, descending, ranges):
     rng = np.random.default_rng(5)
     n = 3000
     v = np.where(rng.random(n) < 0.34, 0.5, rng.exponential(1, n).round(3))
@@ -51,15 +66,24 @@ def test_ranges_and_direct_sort_agree(spark, groups, descending):
     df = spark.createDataFrame(pd.DataFrame({"g": g, "v": v}))
     weights = {"n": F.lit(1), "big": F.when(F.col("v") > 1, 1).otherwise(0)}
 
-    def run(direct):
-        out = ranking.running_totals(df, "v", weights, groups, descending, direct_rows=direct)
+    def run(partitions):
+        ranges(partitions)
+        out = ranking.running_totals(df, "v", weights, groups, descending)
         cols = sorted(out.columns)
         return sorted(out.select(*cols).collect(), key=str)
 
-    assert run(20) == run(10**9)
+    assert run(13) == run(1)
+
+
+def test_null_value_comes_last_when_kept(spark, ranges):
+    ranges(4)
+    df = frame(spark, [(float(i % 7),) for i in range(40)] + [(None,), (None,)], "v double")
+    out = ranking.running_totals(df, "v", {"n": F.lit(1)}, descending=True, keep_null=True).toPandas()
+    assert out[out["v"].isna()][["n", "before_n", "all_n"]].values.tolist() == [[2, 40, 42]]
 
 
-def test_hash_position_is_a_permutation(spark):
+def test_hash_position_is_a_permutation(spark, ranges):
+    ranges(11)
     df = spark.range(5000).withColumn("g", F.when(F.col("id") % 3 == 0, "a").otherwise("b"))
     rows = ranking.hash_position(df, "id", 7, ["g"], "at").toPandas()
     for _, part in rows.groupby("g"):

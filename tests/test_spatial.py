@@ -144,3 +144,33 @@ def test_no_finest_cell_is_over_its_limit(spark, queries):
     places = s._with_axes(s._coordinates(frame(spark, *queries), "lat", "lon"), [F.col("q_lat"), F.col("q_lon")])
     grid = s.fit_grid([(places, 8)])
     assert s._fullest_cells([places], grid, ["_x0", "_x1"], grid.level)[0] <= 8
+
+
+@pytest.mark.parametrize("search", ["pairs", "neighbours"])
+def test_copies_and_unusable_rows_leave_the_grid_as_it_is(spark, monkeypatch, search):
+    lats, lons = RNG.uniform(25, 49, 400), RNG.uniform(-124, -67, 400)
+    odd = [(1000 + i, 35.0, -90.0) for i in range(12)]
+    odd += [(2000 + i, None, None) for i in range(12)] + [(3000, float("inf"), -90.0)]
+    plain = frame(spark, lats, lons)
+    more = plain.unionByName(spark.createDataFrame(odd, "k long, lat double, lon double"))
+    levels, fit = [], s.fit_grid
+
+    def noted(sides):
+        levels.append(fit(sides).level)
+        return fit(sides)
+
+    monkeypatch.setattr(s, "fit_grid", noted)
+    found = []
+    for points in (plain, more):
+        if search == "pairs":
+            centers = points.withColumnRenamed("k", "c")
+            found.append(s.pairs_within(centers, points, 40.0, "c", "k").select("c", "k").toPandas())
+        else:
+            found.append(s.nearest_neighbours(points, "k", 9, []).toPandas())
+    assert abs(levels[1] - levels[0]) <= 1
+    if search == "pairs":
+        ids = found[1].query("c >= 1000 and k >= 1000")
+        assert len(ids) == 144 and ids["k"].max() < 2000
+    else:
+        own = found[1].query("q_lat == 35 and q_lon == -90")
+        assert own["k"].tolist() == list(range(1000, 1009))
