@@ -6,7 +6,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-FAMILIES = ["stations", "coverage", "context", "sites", "installations", "scores", "models"]
+FAMILIES = ["stations", "coverage", "context", "sites", "installations", "scores", "models", "files"]
 
 
 def _merged(name: str) -> dict:

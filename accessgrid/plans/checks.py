@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 
 from accessgrid.functions import constants as k
-from accessgrid.functions.geodesy import _albers_constants, GRS80_SEMI_MAJOR, ALBERS_ORIGIN_LON
 from accessgrid.plans.inputs import DIGITS, EXCLUDED_STATE
 from accessgrid.sources.tables import SHAPES
 
@@ -21,15 +20,21 @@ def miles(a: str, b: str) -> str:
     )
 
 
+# EPSG:5070, Albers equal area on GRS80 (1/f = 298.257222101), parallels 29.5 and 45.5,
+# origin 23 N 96 W: eccentricity, cone constant, C, radius of the origin.
+ALBERS = (0.08181919104281579, 0.6029027690657596, 1.3491820315609697, 9928937.004248787)
+SEMI_MAJOR, ORIGIN_LON = 6378137.0, -96.0
+
+
 def albers(lat: str, lon: str) -> tuple[str, str]:
-    e, n, c, rho0 = _albers_constants()
+    e, n, c, rho0 = ALBERS
     s = f"sin(radians({lat}))"
     q = (
         f"(1 - {e!r}::DOUBLE * {e!r}::DOUBLE) * ({s} / (1 - {e!r}::DOUBLE * {e!r}::DOUBLE * {s} * {s})"
         f" - ln((1 - {e!r}::DOUBLE * {s}) / (1 + {e!r}::DOUBLE * {s})) / (2 * {e!r}::DOUBLE))"
     )
-    rho = f"({GRS80_SEMI_MAJOR!r}::DOUBLE / {n!r}::DOUBLE * sqrt({c!r}::DOUBLE - {n!r}::DOUBLE * {q}))"
-    theta = f"({n!r}::DOUBLE * radians({lon} - ({ALBERS_ORIGIN_LON})))"
+    rho = f"({SEMI_MAJOR!r}::DOUBLE / {n!r}::DOUBLE * sqrt({c!r}::DOUBLE - {n!r}::DOUBLE * {q}))"
+    theta = f"({n!r}::DOUBLE * radians({lon} - ({ORIGIN_LON})))"
     return f"{rho} * sin({theta})", f"{rho0!r}::DOUBLE - {rho} * cos({theta})"
 
 

@@ -126,15 +126,18 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(multiLine="true", allowNonNumericNumbers="true").json(path)
 
 
-def seed_rows(metrics: DataFrame) -> DataFrame:
-    """configurations[].seeds[] as flat rows."""
+def seed_rows(
+    metrics: DataFrame, per_region: str = "per_region", positives: str = "test_positives"
+) -> DataFrame:
+    """configurations[].seeds[] as flat rows; documents differ in the names of two fields."""
     configs = metrics.select(F.explode("configurations").alias("c"))
-    seeds = configs.select("c.per_region", F.explode("c.seeds").alias("s"))
+    size = F.col(f"c.{per_region}").alias("per_region")
+    seeds = configs.select(size, F.explode("c.seeds").alias("s"))
     return seeds.select(
         "per_region",
         "s.seed",
         F.array_join("s.test_states", ", ").alias("test_states"),
-        "s.test_positives",
+        F.col(f"s.{positives}").alias("test_positives"),
         "s.pr_auc",
     )
 
@@ -164,8 +167,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """CSV with a header; reports are small, so one file."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    """CSV with a header; reports are small, so one file, and what makes them stays parallel."""
+    df.repartition(1).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:

@@ -37,6 +37,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Marks a path that exists to go when the application ends."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and go on from the written table.
 
@@ -47,6 +53,5 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/accessgrid/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+    removed_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
