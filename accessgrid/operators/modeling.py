@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -111,26 +112,67 @@ def score_zones(
     return scored.withColumn("residual_miles", F.col("nearest_miles") - F.col("predicted_miles"))
 
 
-def spatial_fold(
+@dataclass(frozen=True)
+class Fold:
+    """Models fitted on the inner train rows of a spatial holdout, with those rows' medians."""
+
+    validation: DataFrame
+    test: DataFrame
+    fitted: DataFrame
+    features: list[str]
+    classifier: PipelineModel
+    regressor: PipelineModel
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        return score_zones(impute(rows, self.fitted, self.features), self.classifier, self.regressor)
+
+
+def fit_fold(
     df: DataFrame,
     held_out: DataFrame,
     features: list[str],
     key: str = "zone",
     seed: int = 42,
     trees: int | None = None,
-) -> DataFrame:
-    """Train inside the remaining states, evaluate on a validation share and the held-out states."""
+) -> Fold:
+    """Hold states out, set a share of the other rows aside for validation, fit on the rest."""
     scoped = spatial_scope(df, held_out)
     train_side = stratified_split(scoped.where(F.col("scope") == "train_side"), key, "is_desert")
     inner = materialize(train_side.where(F.col("split") == "train"))
     fitted = materialize(medians(inner, features))
-    clf, reg = fit_risk_models(impute(inner, fitted, features), features, seed, trees)
+    models = fit_risk_models(impute(inner, fitted, features), features, seed, trees)
+    validation = train_side.where(F.col("split") == "validation")
+    return Fold(validation, scoped.where(F.col("scope") == "test"), fitted, features, *models)
+
+
+def fold_test_row(fold: Fold) -> DataFrame:
+    """pr_auc, precision, recall and test_rows on the held-out states, one row."""
+    y, p = "is_desert", "predicted_prob"
+    test = materialize(fold.score(fold.test))
+    counts = ev.confusion(test, y, p, RISK_THRESHOLD)
+    return counts.select(
+        "precision",
+        "recall",
+        ev.average_precision(test, y, p).scalar().alias("pr_auc"),
+        test.agg(F.count(F.lit(1))).scalar().alias("test_rows"),
+    )
+
+
+def spatial_fold(
+    df: DataFrame,
+    held_out: DataFrame,
+    features: list[str],
+    key: str = "zone",
+    seed: int = 42,
+    trees: int | None = None,
+) -> DataFrame:
+    """Train inside the remaining states, evaluate on a validation share and the held-out states."""
+    fold = fit_fold(df, held_out, features, key, seed, trees)
 
     def scored(rows: DataFrame) -> DataFrame:
-        return materialize(score_zones(impute(rows, fitted, features), clf, reg))
+        return materialize(fold.score(rows))
 
-    val = scored(train_side.where(F.col("split") == "validation"))
-    test = scored(scoped.where(F.col("scope") == "test"))
+    val, test = scored(fold.validation), scored(fold.test)
     y, p = "is_desert", "predicted_prob"
     miles = {"regressor": F.col("predicted_miles")}
     at_half = ev.confusion(test, y, p, RISK_THRESHOLD).select(F.struct("precision", "recall")).scalar()

@@ -1,8 +1,9 @@
 """Queries that train MLlib models.  Tree counts are small here; the operators default to the full ones."""
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accessgrid.functions import constants as k
@@ -27,6 +28,8 @@ PANEL_FEATURES = [
 ]
 TARGET = "ports_next_12m"
 HOLDOUT_SEED = 7
+SIZES = [2, 3]
+PRIMARY_SEED = 42
 
 
 def _modelled(spark, sf_dir):
@@ -35,28 +38,42 @@ def _modelled(spark, sf_dir):
     return materialize(zones.add_group_statistics(materialize(features)))
 
 
-def _fitted(spark, sf_dir):
+def _accepted(rows):
+    """The accepted seeds of both holdout sizes (at most ten rows); an error if there are too few."""
+    accepted = materialize(splits.seed_acceptance(rows, "is_desert", SIZES))
+    splits.require_seeds(accepted, SIZES)
+    return accepted.orderBy("per_region", "seed").collect()
+
+
+def _fold(rows, accepted):
+    held = splits.holdout_states(rows, accepted["per_region"], accepted["seed"])
+    return m.fit_fold(rows, held, FEATURES, seed=accepted["seed"], trees=TREES)
+
+
+def _primary(spark, sf_dir):
+    """All rows, and the models of the primary seed of the larger holdout, else of its first accepted one.
+
+    The models and the medians know the inner train rows of that fold only.
+    """
     rows = _modelled(spark, sf_dir)
-    fitted = materialize(m.medians(rows, FEATURES))
-    filled = materialize(m.impute(rows, fitted, FEATURES))
-    return (filled, *m.fit_risk_models(filled, FEATURES, trees=TREES))
+    larger = [a for a in _accepted(rows) if a["per_region"] == max(SIZES)]
+    wanted = min(larger, key=lambda a: (a["seed"] != PRIMARY_SEED, a["seed"]))
+    return rows, _fold(rows, wanted)
 
 
 def classifier_scores(spark, sf_dir):
-    filled, clf, _ = _fitted(spark, sf_dir)
-    return m.probability(clf, filled, "predicted_prob").select("zone", "is_desert", "predicted_prob")
+    rows, fold = _primary(spark, sf_dir)
+    return fold.score(rows).select("zone", "is_desert", "predicted_prob")
 
 
 def regressor_scores(spark, sf_dir):
-    filled, clf, reg = _fitted(spark, sf_dir)
-    return m.score_zones(filled, clf, reg).select(
-        "zone", "nearest_miles", "predicted_miles", "residual_miles"
-    )
+    rows, fold = _primary(spark, sf_dir)
+    return fold.score(rows).select("zone", "nearest_miles", "predicted_miles", "residual_miles")
 
 
 def feature_importance(spark, sf_dir):
-    filled, clf, _ = _fitted(spark, sf_dir)
-    return m.feature_importance(clf, FEATURES, filled)
+    rows, fold = _primary(spark, sf_dir)
+    return m.feature_importance(fold.classifier, FEATURES, rows)
 
 
 def spatial_fold(spark, sf_dir):
@@ -65,6 +82,24 @@ def spatial_fold(spark, sf_dir):
     return m.spatial_fold(rows, held, FEATURES, trees=TREES)
 
 
+def trained_seed_results(spark, sf_dir):
+    """Models trained and evaluated anew for each accepted seed of both holdout sizes."""
+    rows = _modelled(spark, sf_dir)
+    results = [
+        m.fold_test_row(_fold(rows, a)).select(
+            F.lit(a["per_region"]).alias("per_region"),
+            F.lit(a["seed"]).alias("seed"),
+            F.lit(a["test_positives"]).alias("test_positives"),
+            "test_rows",
+            "pr_auc",
+            "precision",
+            "recall",
+        )
+        for a in _accepted(rows)
+    ]
+    return reduce(DataFrame.unionByName, results)
+
+
 def density_baseline(spark, sf_dir):
     scoped = _modelled(spark, sf_dir)
     scoped = materialize(splits.spatial_scope(scoped, splits.holdout_states(scoped, 3, HOLDOUT_SEED)))
@@ -106,9 +141,8 @@ def forecast_selection(spark, sf_dir):
 
 
 def model_agreement(spark, sf_dir):
-    filled, clf, reg = _fitted(spark, sf_dir)
-    scored = m.score_zones(filled, clf, reg)
-    return ev.agreement(scored, "predicted_prob", "predicted_miles", k.RISK_THRESHOLD, k.DESERT_MILES)
+    rows, fold = _primary(spark, sf_dir)
+    return ev.agreement(fold.score(rows), "predicted_prob", "predicted_miles", k.RISK_THRESHOLD, k.DESERT_MILES)
 
 
 QUERIES = {
@@ -116,6 +150,7 @@ QUERIES = {
     "regressor_scores": regressor_scores,
     "feature_importance": feature_importance,
     "spatial_fold": spatial_fold,
+    "trained_seed_results": trained_seed_results,
     "density_baseline": density_baseline,
     "poisson_forecast": poisson_forecast,
     "boosted_forecast": boosted_forecast,
