@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from accessgrid.llm.common import freeing
+
 #: Bytes of pieces that one recursive query works on.
 QUERY_BYTES = 400_000
 #: Pieces, and spans of text between single spaces, that a worker remembers.
@@ -249,7 +251,7 @@ def _mapped(df: DataFrame, source: str, target: str, call, path: str, pattern: s
                 made = pa.array(call(bpe, values[part]), pa.binary())
                 yield pa.RecordBatch.from_arrays([*cut.columns, made], names=[*cut.schema.names, target])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(freeing(run), schema)
 
 
 def round_trip(df: DataFrame, text: str, path: str, pattern: str, *keep: str) -> DataFrame:
@@ -271,4 +273,4 @@ def round_trip(df: DataFrame, text: str, path: str, pattern: str, *keep: str) ->
                 cut = batch.slice(part.start, part.stop - part.start)
                 yield pa.RecordBatch.from_arrays([*cut.columns[: len(keep)], *made], names=schema.names)
 
-    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(freeing(run), schema)

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,19 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"))
 
 
+def freeing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run for mapInArrow; when a task ends, the memory that Arrow keeps for later goes back.
+
+    Python workers outlive their task, so that an executor would hold it through stages without Python.
+    """
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def ascii_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words `[^\\x20\\x09-\\x0D]+` of all texts, A-Z lower-cased, with the row each stands in."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))

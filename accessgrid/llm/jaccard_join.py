@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accessgrid.llm.common import ascii_tokens, row_key, written
+from accessgrid.llm.common import ascii_tokens, freeing, row_key, written
 from accessgrid.llm.components import components
 
 WORDS = 5
@@ -121,7 +121,7 @@ def shingle_sets(df: DataFrame, text: str, *keep: str, words: int = WORDS, draws
                     made[-1] = pa.nulls(cut.num_rows, pa.binary())
                 yield pa.RecordBatch.from_arrays([*cut.columns[: len(keep)], *made], names=schema.names)
 
-    return df.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
+    return df.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(freeing(run), schema)
 
 
 def leaf_buckets(sets: DataFrame, runs: int, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
@@ -252,7 +252,7 @@ def _compare(tiles: DataFrame, threshold: float) -> DataFrame:
         if held and (made := _compare_unit(pa.Table.from_batches(held), threshold)) is not None:
             yield made
 
-    return tiles.mapInArrow(run, COMPARED)
+    return tiles.mapInArrow(freeing(run), COMPARED)
 
 
 def _tiles(leaves: DataFrame, sets: DataFrame, tile: int) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accessgrid.llm.common import ascii_tokens, written
+from accessgrid.llm.common import ascii_tokens, freeing, written
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -152,7 +152,7 @@ def measures(df: DataFrame, text: str, lang: str, *keep: str) -> DataFrame:
                 made = measure(cut.column(cut.num_columns - 1), cut.column(cut.num_columns - 2).to_pylist())
                 yield pa.RecordBatch.from_arrays([*cut.columns[:-1], *made], names=names)
 
-    return df.select(*keep, F.col(lang).cast("string").alias("_lang"), F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
+    return df.select(*keep, F.col(lang).cast("string").alias("_lang"), F.col(text).cast("string").alias("_text")).mapInArrow(freeing(run), schema)
 
 
 def _entropy(h: Column) -> Column:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accessgrid.llm.common import written
+from accessgrid.llm.common import freeing, written
 
 SCALE = 1024
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 4096
@@ -117,7 +117,7 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
                 cols = [ids[at], hashes[at], np.array([f[1] for f in found], np.int64), np.array([f[2] for f in found], np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "query_hash", "vec_id", "score"])
 
-    return pairs.mapInArrow(run, schema)
+    return pairs.mapInArrow(freeing(run), schema)
 
 
 def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec: str = "embedding", k: int = 10) -> DataFrame:
