@@ -8,12 +8,10 @@ from accessgrid.functions import scalars as fx
 from accessgrid.operators import cleaning, quality, zones
 from accessgrid.operators.spatial import nearest_segment, neighbour_spread
 from accessgrid.plans.checks import check, pick
-from accessgrid.plans.inputs import covered_zones, rounded
+from accessgrid.plans.inputs import OUT_OF_SCOPE, covered_zones, rounded
 from accessgrid.sources.tables import table
 from accessgrid.storage import materialize
 
-OUT_OF_SCOPE = ["NATION_3", "NATION_7", "NATION_24"]
-
 
 def scoped_zones(spark, sf_dir):
     """Continental scope, finite coordinates, five-digit keys, numbers read from text."""

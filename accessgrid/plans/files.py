@@ -79,7 +79,20 @@ def state_report_file(spark, sf_dir):
     return readers.read_csv(spark, path, REPORT_SCHEMA)
 
 
+def daily_from_json(spark, sf_dir):
+    """One document per state and year, with an array for each measure."""
+    daily = table(spark, sf_dir, "weather_daily").groupBy("state", "day")
+    daily = daily.agg(F.min("tmean").alias("tmean"), F.max("tmax").alias("tmax"), F.max("precip").alias("precip"))
+    days = F.array_sort(F.collect_list(F.struct("day", "tmean", "tmax", "precip"))).alias("o")  # a year's at most
+    documents = daily.groupBy("state", F.year("day")).agg(days).select("state", "o.day", "o.tmean", "o.tmax", "o.precip")
+    path = _new_path(spark)
+    readers.write_metrics(documents, path)
+    removed_at_exit(spark, path)
+    return rounded(readers.read_daily(spark, path))
+
+
 QUERIES = {
+    "daily_from_json": daily_from_json,
     "stations_from_csv": stations_from_csv,
     "census_from_csv": census_from_csv,
     "gazetteer_from_tsv": gazetteer_from_tsv,
@@ -88,6 +101,10 @@ QUERIES = {
 }
 
 ORACLES = {
+    "daily_from_json": pick(
+        "(SELECT state, day, min(tmean) AS tmean, max(tmax) AS tmax, max(precip) AS precip FROM [weather_daily] GROUP BY state, day)",
+        "state day", "tmean tmax precip",
+    ),
     "stations_from_csv": pick(
         "(SELECT * REPLACE (concat(station_name, chr(10), '\"', cast(id AS varchar), '\"') AS station_name) FROM [stations_raw])",
         "id station_name city state zip access_code status_code open_date level1_ports level2_ports dcfc_ports "

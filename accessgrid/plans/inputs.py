@@ -13,6 +13,8 @@ from accessgrid.storage import materialize
 
 DIGITS = 6
 EXCLUDED_STATE = "NATION_24"
+# The given states that stand for those outside the continental scope.
+OUT_OF_SCOPE = ["NATION_3", "NATION_7", "NATION_24"]
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -43,10 +45,10 @@ def covered_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.label_coverage(near)
 
 
-def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone-by-month panel with temporal features."""
+def event_panel(spark: SparkSession, sf_dir: str, zones_in: DataFrame | None = None) -> DataFrame:
+    """Zone-by-month panel with temporal features, of all zones or those given."""
     monthly = materialize(panel.monthly_events(cleaned_stations(spark, sf_dir)))
-    laid_out = panel.calendar_panel(table(spark, sf_dir, "zones"), monthly)
+    laid_out = panel.calendar_panel(table(spark, sf_dir, "zones") if zones_in is None else zones_in, monthly)
     return panel.add_temporal_features(laid_out)
 
 

@@ -222,7 +222,7 @@ _DRAW = (
 _HELD = f"(SELECT region, state FROM {_DRAW} WHERE n <= 3)"
 
 
-def _split_sql(source: str, seed: int) -> str:
+def split_sql(source: str, seed: int) -> str:
     return (
         "(SELECT zone, state, is_desert, CASE WHEN row_number() OVER (PARTITION BY is_desert ORDER BY md5(concat(zone, ':"
         f"{seed}')), zone) <= floor(0.2::DOUBLE * count(*) OVER (PARTITION BY is_desert) + 0.5) THEN 'validation' ELSE 'train' END AS split FROM {source})"
@@ -280,10 +280,10 @@ ORACLES = {
     "scope_label": check(
         f"SELECT zone, state, CASE WHEN state IN (SELECT state FROM {_HELD}) THEN 'test' ELSE 'train_side' END AS scope FROM [zones]"
     ),
-    "validation_split": check(f"SELECT zone, is_desert, split FROM {_split_sql('[covered]', 42)}"),
+    "validation_split": check(f"SELECT zone, is_desert, split FROM {split_sql('[covered]', 42)}"),
     "split_summary": check(
         "SELECT split, count(*) AS n_rows, count(DISTINCT state) AS n_states FROM (SELECT state, split FROM "
-        + _split_sql(f"(SELECT * FROM [covered] WHERE state NOT IN (SELECT state FROM {_HELD}))", 7)
+        + split_sql(f"(SELECT * FROM [covered] WHERE state NOT IN (SELECT state FROM {_HELD}))", 7)
         + f" UNION ALL SELECT state, 'test' FROM {_TEST}) GROUP BY split"
     ),
     "seed_acceptance": check(

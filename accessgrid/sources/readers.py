@@ -47,6 +47,7 @@ STATION_COLUMNS = {
     "EV Connector Types": "connector_types",
     "Country": "country",
 }
+DAILY_SCHEMA = "state string, day array<date>, tmean array<double>, tmax array<double>, precip array<double>"
 CENSUS_SCHEMA = "zcta string, total_population bigint, median_household_income double"
 
 
@@ -160,6 +161,11 @@ def daily_observations(payloads: DataFrame) -> DataFrame:
     return payloads.select("state", F.explode(zipped).alias("o")).select("state", "o.*")
 
 
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """One row per state and day from JSON documents, one on each line, that hold daily arrays."""
+    return daily_observations(spark.read.schema(DAILY_SCHEMA).json(path))
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     """Overwrite, then read back and count."""
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
