@@ -4,6 +4,10 @@ Each document's histograms of character classes and of common words of its langu
 with the language's own references by the Jensen-Shannon distance (base 2, 0 to 1).  References are
 the mean histograms of all documents of a language, so they follow the corpus.  Documents too short
 for a histogram to mean anything are not judged by it.
+
+With own limits, how far a document may be follows from its language's own distances at its length:
+few words are always further from a mean than many, and a text without any common word is at a
+distance that depends on the language's share of them.
 """
 from __future__ import annotations
 
@@ -23,6 +27,13 @@ WINDOW = 8
 MIN_CHARS_COMPARED, MIN_WORDS_COMPARED = 200, 50
 #: Largest distances that pass.
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.45, 0.85
+#: Own limits of characters: so many times the upper quartile of the documents of the same length.
+CHAR_TIMES = 2
+#: Own limits of words: the median and so many times what the upper quartile is above it, a share of
+#: the median at least (near copies are close together).
+WORD_SPREADS, WORD_MARGIN = 4, 0.25
+#: Own limits are not less.
+MIN_LIMIT = 0.1
 #: Languages with fewer comparable documents have no reference; their documents pass.
 MIN_REFERENCE_DOCS = 20
 
@@ -174,25 +185,87 @@ def references(measured: DataFrame) -> DataFrame:
     return found.filter(F.col("n") >= MIN_REFERENCE_DOCS).select("_lang", "char_ref", F.filter("word_ref", lambda x: x.isNotNull()).alias("word_ref"))
 
 
-def judged(measured: DataFrame) -> DataFrame:
-    """Adds base_failed, char_distance, word_distance (null: not compared) and kept."""
+def compared(measured: DataFrame) -> DataFrame:
+    """Adds char_distance and word_distance (null: not compared), and none_distance, that of a text
+    without any common word."""
     long_enough = (F.col("n_characters") >= MIN_CHARS_COMPARED, F.col("n_words") >= MIN_WORDS_COMPARED)
     joined = measured.join(references(measured), "_lang", "left")  # a row for each language
-    both = joined.withColumn(
-        "char_distance", F.when(long_enough[0] & F.col("char_ref").isNotNull(), divergence(F.col("char_hist"), F.col("char_ref")))
-    ).withColumn(
-        "word_distance",
-        F.when(long_enough[1] & F.col("word_hist").isNotNull() & (F.size("word_ref") > 1), divergence(F.col("word_hist"), F.col("word_ref"))),
-    )
+    worded = F.col("word_hist").isNotNull() & (F.size("word_ref") > 1)
+    none = F.transform("word_ref", lambda x, i: F.when(i == F.size("word_ref") - 1, 1.0).otherwise(0.0))
+    return joined.withColumns({
+        "char_distance": F.when(long_enough[0] & F.col("char_ref").isNotNull(), divergence(F.col("char_hist"), F.col("char_ref"))),
+        "word_distance": F.when(long_enough[1] & worded, divergence(F.col("word_hist"), F.col("word_ref"))),
+        "none_distance": F.when(long_enough[1] & worded, divergence(none, F.col("word_ref"))),
+    }).drop("char_hist", "word_hist", "char_ref", "word_ref")
+
+
+def own_limits(distances: DataFrame) -> DataFrame:
+    """(_lang, char, word): for each octave of lengths the documents there, their limit and upper quartile.
+
+    Documents of one length and distance (copies) count once.  Distances of words fall with the root of
+    the length, so they are held as those of the octave's shortest text.  Quartiles are exact to 1/1000,
+    over counts of distances: a group has 1,415 of them at most, whatever the data holds.
+    """
+    kinds = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(n).alias("n"), F.col(f"{kind}_distance").alias("d")) for kind, n in (("char", "n_characters"), ("word", "n_words"))
+    ])
+    rows = distances.select("_lang", F.explode(kinds).alias("r")).select("_lang", "r.*").filter("d IS NOT NULL").distinct()
+    placed = rows.withColumn("octave", F.floor(F.log2("n")).cast("int"))
+    scale = F.when(F.col("kind") == "word", F.sqrt(F.col("n") / F.pow(F.lit(2.0), "octave"))).otherwise(1.0)
+    group = ("_lang", "kind", "octave")
+    cells = placed.groupBy(*group, F.round(1000 * F.col("d") * scale).alias("cell")).agg(F.count("*").alias("n"))
+    found = cells.groupBy(*group).agg(F.sum("n").alias("docs"), F.percentile("cell", [0.5, 0.75], F.col("n")).alias("q"))
+    middle, upper = F.col("q")[0] / 1000, F.col("q")[1] / 1000
+    above = F.greatest(WORD_SPREADS * (upper - middle), WORD_MARGIN * middle)
+    limit = F.when(F.col("kind") == "char", CHAR_TIMES * upper).otherwise(middle + above)
+    entry = F.struct("octave", "docs", limit.alias("limit"), upper.alias("upper"))
+    own = lambda kind: F.collect_list(F.when(F.col("kind") == kind, entry)).alias(kind)
+    return found.groupBy("_lang").agg(own("char"), own("word"))
+
+
+def _entry(entries: str, n: str) -> Column:
+    """The entry of the nearest octave with enough documents, or of the octave with the most."""
+    octave = F.floor(F.log2(F.greatest(F.col(n), F.lit(1)))).cast("int")
+    rank = lambda x: F.struct(
+        (-F.least(x["docs"], F.lit(MIN_REFERENCE_DOCS))).alias("few"), F.abs(x["octave"] - octave).alias("far"), x["octave"].alias("octave"), x["limit"].alias("limit"), x["upper"].alias("upper")
+    )
+    return F.array_min(F.transform(entries, rank))
+
+
+def limited(distances: DataFrame) -> DataFrame:
+    """Adds char_limit and word_limit from own_limits (null: no reference).
+
+    A limit of words is at most midway from the upper quartile to a text without common words.
+    """
+    both = distances.join(own_limits(distances), "_lang", "left")  # a row for each language
+    both = both.withColumns({"_c": _entry("char", "n_characters"), "_w": _entry("word", "n_words")})
+    # Longer texts than those of the entry have the limit of its longest.
+    scale = F.least(F.sqrt(F.col("n_words") / F.pow(F.lit(2.0), F.col("_w.octave"))), F.sqrt(F.lit(2.0)))
+    upper = F.col("_w.upper") / scale
+    midway = F.when(F.col("none_distance") > upper, (upper + F.col("none_distance")) / 2)
+    at_least = lambda c: F.when(c.isNotNull(), F.greatest(c, F.lit(MIN_LIMIT)))
+    made = {"char_limit": at_least(F.col("_c.limit")), "word_limit": at_least(F.least(F.col("_w.limit") / scale, midway))}
+    return both.withColumns(made).drop("char", "word", "_c", "_w")
+
+
+def judged(distances: DataFrame) -> DataFrame:
+    """Adds base_failed and kept: within the fixed limits, and within char_limit and word_limit if there."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    near = (F.coalesce("char_distance", F.lit(0.0)) <= MAX_CHAR_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE)
-    return both.withColumn("base_failed", failed).withColumn("kept", ~failed & near)
+    near = F.lit(True)
+    for kind, most in (("char", MAX_CHAR_DISTANCE), ("word", MAX_WORD_DISTANCE)):
+        limit = F.least(F.lit(most), f"{kind}_limit") if f"{kind}_limit" in distances.columns else F.lit(most)
+        near &= F.coalesce(F.col(f"{kind}_distance") <= limit, F.lit(True))
+    return distances.withColumn("base_failed", failed).withColumn("kept", ~failed & near)
 
 
-def quality(df: DataFrame, *keep: str, text: str = "text", lang: str = "lang") -> DataFrame:
+def quality(df: DataFrame, *keep: str, text: str = "text", lang: str = "lang", by_own_limits: bool = False) -> DataFrame:
     """keep, the measures, base_failed, both distances and kept, a row for each row of df.
 
     Null and empty texts have no words and fail the base rule.  Documents without a language, or in
     one with few documents, are judged by the base rule alone.  Repeated rows are judged alike.
+    by_own_limits: distances are held to the limits of each language's own distances too; the fixed
+    ones alone hardly ever reject by words.
     """
-    return judged(written(measures(df, text, lang, *keep))).drop("_lang", "char_hist", "word_hist", "char_ref", "word_ref", "n_characters")
+    distances = compared(written(measures(df, text, lang, *keep)))
+    made = judged(limited(written(distances)) if by_own_limits else distances)
+    return made.drop("_lang", "n_characters", "none_distance", "char_limit", "word_limit")

@@ -42,7 +42,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(ready(spark), sf_dir, "documents"), "doc_id")
+    return quality.quality(table(ready(spark), sf_dir, "documents"), "doc_id", by_own_limits=True)
 
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the rules reject go; rows that agree in id and text are judged alike."""
     ready(spark)
     keyed = docs.withColumn("_key", row_key("doc_id", "text"))
-    kept = quality.quality(keyed, "_key").filter("kept").select("_key").distinct()
+    kept = quality.quality(keyed, "_key", by_own_limits=True).filter("kept").select("_key").distinct()
     return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
 
 

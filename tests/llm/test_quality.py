@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accessgrid.llm import quality as q
+from accessgrid.llm.common import written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -93,3 +94,47 @@ def test_other_text_is_told_from_prose(spark):
     df = docs.withColumn("doc_id", F.lit(0)).union(spark.createDataFrame([(noise, "en", 1)], "text string, lang string, doc_id int"))
     row = q.quality(df, "doc_id").filter("doc_id = 1").first()
     assert not row["base_failed"] and not row["kept"]
+
+
+def test_own_limits(spark):
+    """Symbols, other languages and gibberish go by the limit that is theirs; clean texts stay, short and long.
+
+    Limits follow quartiles, so few such texts are added: a few hundredths of a language."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    share = lambda t, lang: 1 - words_histogram(t, lang)[-1]
+    symbols = lambda t: len(re.findall(r"[#*$%&|<>]", t)) / len(t)
+    upper = lambda t: sum(c.isupper() for c in t) / len(t)
+    prose = lambda r: not base(r["text"])[5] and symbols(r["text"]) < 0.01 and upper(r["text"]) < 0.1 and share(r["text"], r["lang"]) > 0.17
+    clean = [r for r in docs.collect() if r["text"] and len(r["text"]) > 250 and prose(r)]
+    long = [r for r in clean if len(r["text"].split()) >= 100]
+    swap = {"en": "de", "de": "en", "fr": "de", "es": "en"}
+    cases = {
+        "symbols": [(" ".join(w + "$#&%*"[n % 5] * 3 for n, w in enumerate(r["text"].split())), r["lang"]) for r in clean[:40]],
+        "language": [(r["text"], swap[r["lang"]]) for r in long[:40]],
+        "gibberish": [(" ".join(w if w.lower() not in q.COMMON_WORDS[r["lang"]] else w[::-1] + "q" for w in r["text"].split()), r["lang"]) for r in long[:40]],
+    }
+    added = [(-1 - n, t, lang) for n, (t, lang) in enumerate(x for rows in cases.values() for x in rows)]
+    kind = {-1 - n: k for n, k in enumerate(k for k, rows in cases.items() for _ in rows)}
+    whole = docs.union(spark.createDataFrame(added, docs.schema))
+    measured = q.limited(written(q.compared(written(q.measures(whole, "text", "lang", "doc_id")))))
+    far = {r["doc_id"]: (r["c"], r["w"]) for r in measured.selectExpr("doc_id", "char_distance > char_limit AS c", "word_distance > word_limit AS w").collect()}
+    kept = {r["doc_id"]: r["kept"] for r in q.quality(whole, "doc_id", by_own_limits=True).collect()}
+    for k, rule in (("symbols", 0), ("language", 1), ("gibberish", 1)):
+        own = [i for i in kind if kind[i] == k]
+        assert sum(bool(far[i][rule]) for i in own) >= 0.95 * len(own), k
+        assert not any(kept[i] for i in own if far[i][rule])
+    for own in (clean, long):
+        assert sum(kept[r["doc_id"]] for r in own) >= 0.99 * len(own)
+    for rule in (0, 1):
+        assert sum(bool(far[r["doc_id"]][rule]) for r in clean) <= 0.01 * len(clean)
+
+
+def test_own_limits_of_copies_and_few(spark):
+    """Copies do not draw a limit in; a language of few documents of many lengths still has one."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang = 'en' AND length(text) > 600")
+    good = q.quality(docs, "doc_id", "text", "lang").filter("kept AND char_distance < 0.15 AND word_distance < 0.2").drop("n_words").select("doc_id", "text", "lang")
+    one = written(good.orderBy("doc_id").limit(60))
+    copies = one.orderBy("doc_id").limit(1).crossJoin(spark.range(300)).select("doc_id", "text", "lang")
+    for df in (one, one.union(copies)):
+        rows = q.quality(df, "doc_id", by_own_limits=True).collect()
+        assert sum(r["kept"] for r in rows) >= 0.95 * len(rows)
