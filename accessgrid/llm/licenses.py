@@ -1,11 +1,13 @@
 """License scan: phrases in texts, and an exact set-similarity join with license templates.
 
-Text blocks (lines) are sets of words.  A block meets a template if it holds at least CONTAINMENT of
-the template's words.  The words of all templates are ordered by how many blocks hold them, rarest
-first.  A block that meets a template must hold one of the template's first words in that order
-(prefix filter), must be long enough (length filter), and the first word found must leave enough
-behind it (positional filter); what is left is counted exactly.  Templates are a parameter of bounded
-size; blocks never leave their row until they have met one.
+Texts are cut into paragraphs (runs of lines that aren't blank).  A paragraph meets a template if one of
+its lines, or a window of its words as long as the template, holds at least CONTAINMENT of the
+template's words; windows go across line feeds, so wrapped templates are met.  The words of all
+templates are ordered by how many paragraphs hold them, rarest first.  A paragraph that meets a
+template must hold one of the template's first words in that order (prefix filter), must be long
+enough (length filter), and the first word found must leave enough behind it (positional filter);
+lines and windows of what is left are counted exactly.  Templates are a parameter of bounded size;
+paragraphs never leave their row until they have met one.
 """
 from __future__ import annotations
 
@@ -51,7 +53,7 @@ def words(text: Column) -> Column:
 
 
 def _template_words(text: str) -> list[str]:
-    return list(dict.fromkeys(w for w in re.split(_BETWEEN, text.lower()) if w))
+    return [w for w in re.split(_BETWEEN, text.lower()) if w]
 
 
 def _literal(values: list[str]) -> Column:
@@ -92,9 +94,9 @@ def base(df: DataFrame, id_col: str, text: str, phrases: dict[str, str] = PHRASE
 
 
 def blocks(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(key, tokens): the distinct words of each line of the texts."""
-    lines = df.select(row_key(id_col, text).alias("key"), F.explode(F.split(F.col(text), "\n")).alias("line"))
-    return lines.select("key", F.array_distinct(words(F.col("line"))).alias("tokens")).filter(F.size("tokens") > 0)
+    """(key, block, tokens): the paragraphs of the texts and their distinct words."""
+    split = F.transform(F.split(F.col(text), r"\n\s*\n"), lambda p: F.struct(p.alias("block"), F.array_distinct(words(p)).alias("tokens")))
+    return df.select(row_key(id_col, text).alias("key"), F.explode(split).alias("p")).select("key", "p.*").filter(F.size("tokens") > 0)
 
 
 def ordered_templates(tokens: DataFrame, templates: list[tuple[str, str]], containment: float) -> list[dict]:
@@ -107,14 +109,15 @@ def ordered_templates(tokens: DataFrame, templates: list[tuple[str, str]], conta
     counts = {r["word"]: r["n"] for r in hits.groupBy("word").agg(F.count("*").alias("n")).collect()}
     out = []
     for label, text in templates:
-        own = sorted(_template_words(text), key=lambda w: (counts.get(w, 0), w))
+        row = _template_words(text)
+        own = sorted(set(row), key=lambda w: (counts.get(w, 0), w))
         need = math.ceil(containment * len(own) - 1e-9)
-        out.append({"label": label, "words": own, "need": need, "prefix": own[: len(own) - need + 1]})
+        out.append({"label": label, "words": own, "need": need, "length": len(row), "prefix": own[: len(own) - need + 1]})
     return out
 
 
 def matches(tokens: DataFrame, templates: list[dict]) -> DataFrame:
-    """(key, label, score) of each block and template that meet."""
+    """(key, label, score) of each paragraph and template that meet in a line or window."""
     prefix = sorted({w for t in templates for w in t["prefix"]})
     least = min(t["need"] for t in templates)
     near = tokens.filter((F.size("tokens") >= least) & F.arrays_overlap("tokens", _literal(prefix)))
@@ -125,9 +128,18 @@ def matches(tokens: DataFrame, templates: list[dict]) -> DataFrame:
         behind = size - F.array_position(own, F.element_at(common, 1)) + 1
         fits = (F.size("tokens") >= t["need"]) & F.arrays_overlap("tokens", _literal(t["prefix"]))
         fits &= F.when(fits, (behind >= t["need"]) & (F.size(common) >= t["need"])).otherwise(F.lit(False))
-        found.append(F.when(fits, F.struct(F.lit(t["label"]).alias("label"), (F.size(common) / size).alias("score"))))
-    met = near.select("key", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("m"))
-    return met.select("key", "m.label", "m.score")
+        values = {"label": F.lit(t["label"]), "own": own, "need": F.lit(t["need"]), "length": F.lit(t["length"])}
+        found.append(F.when(fits, F.struct(*[v.alias(k) for k, v in values.items()])))
+    maybe = near.select("key", "block", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("t"))
+    # Through explode, so that the words are made once and not anew for each window.
+    made = F.struct(words(F.col("block")).alias("w"), F.transform(F.split("block", "\n"), words).alias("lines"))
+    split = maybe.select("key", "t.*", F.explode(F.array(made)).alias("b")).select("key", "label", "own", "need", "length", "b.*")
+    held = lambda some: F.size(F.array_intersect("own", some))
+    starts = F.filter(F.sequence(F.lit(1), F.size("w")), lambda i: F.array_contains("own", F.element_at("w", i)))
+    windows = F.transform(starts, lambda i: held(F.slice("w", i, F.col("length"))))
+    best = F.greatest(F.array_max(windows), F.array_max(F.transform("lines", held)))
+    met = split.select("key", "label", "need", F.size("own").alias("size"), best.alias("best")).filter("best >= need")
+    return met.select("key", "label", (F.col("best") / F.col("size")).alias("score"))
 
 
 def license_scan(
@@ -135,7 +147,7 @@ def license_scan(
 ) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score), a row for each row of df.
 
-    score is the largest containment of a template in a line, 1 where a phrase is found, else 0.
+    score is the largest containment of a template in a line or window of words, 1 where a phrase is found, else 0.
     Null and empty texts have no words, empty label lists and null places.  Repeated rows are judged
     alike.  Further columns are not read.
     """
