@@ -1,7 +1,7 @@
-"""Queries that train MLlib models.  Tree counts are small here; the operators default to the full ones."""
+"""Queries that train MLlib models, with the operators' full tree counts."""
 from __future__ import annotations
 
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,6 @@ from accessgrid.plans.scores import split_sql
 from accessgrid.sources.tables import table
 from accessgrid.storage import materialize
 
-TREES = 10
 FEATURES = [
     "population", "income", "area_km2", "density", "rural", "elevation_m", "avg_temp_c",
     "avg_precip_mm_day", "state_median_density", "state_median_income", "state_rural_share",
@@ -56,7 +55,7 @@ def _accepted(rows):
 
 def _fold(rows, accepted):
     held = splits.holdout_states(rows, accepted["per_region"], accepted["seed"])
-    return m.fit_fold(rows, held, FEATURES, seed=accepted["seed"], trees=TREES)
+    return m.fit_fold(rows, held, FEATURES, seed=accepted["seed"])
 
 
 def _primary_seed(rows):
@@ -108,7 +107,7 @@ def feature_importance(spark, sf_dir):
 def spatial_fold(spark, sf_dir):
     rows = _modelled(spark, sf_dir)
     held = splits.holdout_states(rows, 3, HOLDOUT_SEED)
-    return m.spatial_fold(rows, held, FEATURES, trees=TREES)
+    return m.spatial_fold(rows, held, FEATURES)
 
 
 def trained_seed_results(spark, sf_dir):
@@ -161,13 +160,13 @@ def poisson_forecast(spark, sf_dir):
 
 
 def boosted_forecast(spark, sf_dir):
-    return _forecast(_panel(spark, sf_dir), partial(m.count_regressor, maxIter=TREES))
+    return _forecast(_panel(spark, sf_dir), m.count_regressor)
 
 
 def _both_forecasts(spark, sf_dir):
     """The forecasts of both models with their names, and a row of errors for each model."""
     rows = _panel(spark, sf_dir)
-    stages = {"poisson": m.poisson, "boosted": partial(m.count_regressor, maxIter=TREES)}
+    stages = {"poisson": m.poisson, "boosted": m.count_regressor}
     made = {name: materialize(_forecast(rows, stage)) for name, stage in stages.items()}
     errors = [ev.error_metrics(out, TARGET, {name: F.col("forecast")}) for name, out in made.items()]
     named = [out.withColumn("model_choice", F.lit(name)) for name, out in made.items()]

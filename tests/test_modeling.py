@@ -1,9 +1,12 @@
 from functools import partial
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from accessgrid.operators import modeling as m
+from accessgrid.plans import models
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +67,20 @@ def test_forecast_is_never_negative(spark):
     for stage in (m.poisson, partial(m.count_regressor, maxIter=2)):
         out = m.forecast(df, "y", ["x"], stage, "f")
         assert out.count() == 50 and out.agg(F.min("f")).first()[0] >= 0
+
+
+def test_queries_ask_for_all_trees(spark, monkeypatch):
+    """The counts the registered queries train with; one tree is trained in the test."""
+    asked = []
+    for kind in (GBTClassifier, GBTRegressor):
+
+        def one(self, data, fit=kind._fit):
+            asked.append(self.getMaxIter())
+            return fit(self.copy({self.maxIter: 1}), data)
+
+        monkeypatch.setattr(kind, "_fit", one)
+    wanted = {"spatial_fold": [500, 600], "boosted_forecast": [400], "predicted_candidates": [400, 500, 600]}
+    for name, counts in wanted.items():
+        asked.clear()
+        models.QUERIES[name](spark, "/root/testdata/sf0.01").count()
+        assert sorted(asked) == counts, name
