@@ -7,10 +7,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accessgrid.llm import bpe, jaccard_join, licenses, lines, lm, mixing, quality, ready, sharding, topk, warc
+from accessgrid.llm import bpe, jaccard_join, licenses, lines, lm, mixing, pieces, quality, ready, sharding, topk, warc
 from accessgrid.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
 #: Target weights by level; what isn't named has weight 1 among its siblings.
 WEIGHTS = {
@@ -58,6 +59,11 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.parts(sharding.place(docs, "doc_id", SHARDS))
 
 
+def marked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(ready(spark), sf_dir, "documents")
+    return pieces.round_trip(docs, "text", public_tokenizers.path(PIECES), "doc_id")
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixture,
     "op9_sharding": shards,
     "op10_licenses": license_scan,
+    "op11_pieces": marked_words,
 }
 
 ORACLES = {
