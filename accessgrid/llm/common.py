@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from accessgrid.storage import shared_folder
@@ -40,6 +40,27 @@ def drop_table(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def numbered(df: DataFrame, by: list[Column], out: str) -> DataFrame:
+    """The rows, written, with their place from 0 in the order `by`; rows that agree in it, in any order.
+
+    Ranges are cut by Spark and sorted on their own; each begins after the rows of those before it.
+    Rows that agree in all of `by` are spread over ranges, too.
+    """
+    keys = [f"order {n} of this step" for n in range(len(by))] + ["spread of this step"]
+    rows = df.withColumns(dict(zip(keys, [*by, F.monotonically_increasing_id()])))
+    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys)
+    rows = written(ranged.withColumn(out, F.monotonically_increasing_id()))
+    # The upper bits number the range, the lower 33 the row in it.
+    cut = rows.withColumn("range of this step", F.shiftright(out, 33))
+    sizes = cut.groupBy("range of this step").agg(F.count("*").alias("rows of this step"))
+    earlier = Window.orderBy("range of this step").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each range.
+    starts = sizes.select("range of this step", F.coalesce(F.sum("rows of this step").over(earlier), F.lit(0)).alias("start of this step"))
+    placed = cut.join(starts, "range of this step")
+    place = F.col("start of this step") + F.col(out).bitwiseAND((1 << 33) - 1)
+    return placed.select(*df.columns, place.alias(out))
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """Key of a document: id and hash of its text, so that equal ids with other texts stay apart.
 
