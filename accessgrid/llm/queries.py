@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accessgrid.llm import bpe, jaccard_join, licenses, lines, lm, merkle, mixing, pieces, quality, ready, sharding, topk, warc
+from accessgrid.llm import bpe, jaccard_join, licenses, lines, lm, merkle, mixing, pieces, quality, ready, sharding, topk, trie, warc
 from accessgrid.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -64,6 +64,10 @@ def marked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(docs, "text", public_tokenizers.path(PIECES), "doc_id")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(ready(spark), sf_dir, "conversations"))
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(table(spark, sf_dir, "documents"))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": shards,
     "op10_licenses": license_scan,
     "op11_pieces": marked_words,
+    "op12_trie": conversations,
     "op13_merkle": manifest,
 }
 
