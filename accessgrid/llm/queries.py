@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accessgrid.llm import bpe, jaccard_join, licenses, lines, lm, merkle, mixing, pieces, quality, ready, sharding, topk, trie, warc
+from accessgrid.llm import bpe, jaccard_join, licenses, lines, lm, merkle, mixing, oracles, pieces, quality, ready, sharding, topk, trie, warc
 from accessgrid.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -105,4 +105,6 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 10""",
+    "op12_trie": oracles.TRIE,
+    "op13_merkle": oracles.MERKLE,
 }
