@@ -55,8 +55,9 @@ def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
-    return sharding.parts(sharding.place(docs, "doc_id", SHARDS))
+    found = sharding.through_shards(table(spark, sf_dir, "documents"), "doc_id", SHARDS)
+    digests = [F.octet_length("text").alias("text_bytes"), F.sha2("text", 256).alias("text_sha256")]
+    return found.select("doc_id", "lang", "source", "n_chars", "slot", "shard", "part", *digests)
 
 
 def marked_words(spark: SparkSession, sf_dir: str) -> DataFrame:

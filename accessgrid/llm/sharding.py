@@ -11,10 +11,12 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from accessgrid.llm.common import scratch
+
 #: Prime, and more than 100 times the shards, so that shards differ by about 1 % of their slots.
 SLOTS = 65_537
 #: Rows that one file of a shard holds on average when the shards are written.
-PART_ROWS = 1_000_000
+PART_ROWS = 100_000
 
 
 def _prime(n: int) -> bool:
@@ -78,3 +80,16 @@ def parts(placed: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
 def write_shards(placed: DataFrame, path: str, part_rows: int = PART_ROWS) -> None:
     """One folder for each shard, its parts as files of even size."""
     parts(placed, part_rows).repartition("shard", "part").write.partitionBy("shard").parquet(path)
+
+
+def through_shards(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS, part_rows: int = PART_ROWS) -> DataFrame:
+    """Whole rows placed, written to their shards in the shared folder, and read from there.
+
+    All columns of df with slot, shard and part; columns of these names are replaced.  Rows, repeated
+    and null ones too, come back as often as they were there; an empty table comes back empty.
+    """
+    placed = place(df.drop("part"), key, shards, slots)
+    path = scratch(df.sparkSession)
+    write_shards(placed, path, part_rows)
+    found = df.sparkSession.read.schema(parts(placed, part_rows).schema).parquet(path)
+    return found.select(*placed.columns, "part")

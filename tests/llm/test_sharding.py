@@ -1,7 +1,10 @@
+import hashlib
 from collections import Counter
 
 import pytest
+import xxhash
 
+from accessgrid.llm import queries
 from accessgrid.llm import sharding as sh
 
 NAMES = [f"s{n}" for n in range(7)]
@@ -67,3 +70,26 @@ def test_written_shards(docs, tmp_path):
 def test_no_python_in_the_plan(docs):
     plan = sh.parts(sh.place(docs, "doc_id", NAMES))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "ExistingRDD" not in plan
+
+
+def test_query_returns_what_the_shards_hold(spark, sf_dir, docs):
+    """Placed by brute force: the hash of the id, the table of all slots."""
+    owner = sh.fill(queries.SHARDS)
+    want = []
+    for r in docs.collect():
+        h = xxhash.xxh64_intdigest(r["doc_id"].to_bytes(8, "little", signed=True), 42)
+        slot = (h - (1 << 64) if h >> 63 else h) % sh.SLOTS
+        data = r["text"].encode()
+        want.append((r["doc_id"], r["lang"], r["source"], r["n_chars"], slot, queries.SHARDS[owner[slot]], 0, len(data), hashlib.sha256(data).hexdigest()))
+    out = queries.QUERIES["op9_sharding"](spark, sf_dir)
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+
+
+def test_whole_rows_come_back(odd, none):
+    clash = odd.withColumnRenamed("fold", "part").withColumnRenamed("key", "SHARD")
+    back = sh.through_shards(clash, "doc_id", NAMES, 1009, 2)
+    own = ["doc_id", "text", "lang", "source", "n_chars"]
+    assert Counter(map(tuple, back.select(*own).collect())) == Counter(map(tuple, odd.select(*own).collect()))
+    assert set(back.columns) == {*own, "slot", "shard", "part"}
+    assert max(r["part"] for r in back.collect()) >= 1
+    assert sh.through_shards(none, "doc_id", NAMES).count() == 0
