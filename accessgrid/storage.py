@@ -1,8 +1,10 @@
 """Session set-up and the one place where lineage is cut."""
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,16 @@ def local_session(cores: str = "*", name: str = "accessgrid", **conf: str) -> Sp
     return spark
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers of this machine find the package, whatever folder the session began in."""
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    root = str(Path(__file__).resolve().parents[1])
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
