@@ -1,41 +1,40 @@
-"""Median imputation and MLlib models for risk, distance and installations."""
+"""Median imputation, boosted models of risk, distance and installations, and MLlib's linear ones."""
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accessgrid.functions.constants import RISK_THRESHOLD
+from accessgrid.operators import boosting, registry
 from accessgrid.operators import evaluation as ev
+from accessgrid.operators.boosting import Params, Spec
+from accessgrid.operators.lookup import lookup_small
 from accessgrid.operators.ranking import exact_quantiles
-from accessgrid.operators.splits import spatial_scope, stratified_split
+from accessgrid.operators.splits import stratified_split
 from accessgrid.storage import materialize
 
 # Training parameters.
-CLASSIFIER_PARAMS = {
-    "maxIter": 500, "maxDepth": 5, "stepSize": 0.04, "subsamplingRate": 0.9,
-    "featureSubsetStrategy": "0.85", "minInstancesPerNode": 4,
-}
-REGRESSOR_PARAMS = {**CLASSIFIER_PARAMS, "maxIter": 600}
-COUNT_PARAMS = {
-    "maxIter": 400, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.9,
-    "featureSubsetStrategy": "0.9",
-}
+CLASSIFIER_PARAMS = Params(trees=500, depth=5, rate=0.04, subsample=0.9, columns=0.85, l2=1.2, min_hessian=4.0)
+REGRESSOR_PARAMS = replace(CLASSIFIER_PARAMS, trees=600)
+COUNT_PARAMS = Params(trees=400, depth=5, rate=0.05, subsample=0.9, columns=0.9)
 POISSON_REG = 1e-4
 
 
-def medians(train: DataFrame, columns: list[str]) -> DataFrame:
-    """column_name, median: exact, all columns in one long pass."""
-    numeric = train.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = numeric.unpivot([], columns, "column_name", "value").where(F.col("value").isNotNull())
-    return exact_quantiles(long, "value", {"median": 0.5}, ["column_name"])
+def medians(train: DataFrame, columns: list[str], within: list[str] | None = None) -> DataFrame:
+    """column_name, median: exact, all columns in one long pass, for each group of ``within``."""
+    within = within or []
+    numeric = train.select(*within, *[F.col(c).cast("double").alias(c) for c in columns])
+    long = numeric.unpivot(within, columns, "column_name", "value").where(F.col("value").isNotNull())
+    return exact_quantiles(long, "value", {"median": 0.5}, [*within, "column_name"])
 
 
 def impute(df: DataFrame, fitted: DataFrame, columns: list[str]) -> DataFrame:
@@ -58,20 +57,6 @@ def assembled(columns: list[str], stage: Estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), stage])
 
 
-def classifier(label: str, seed: int = 42, **params) -> GBTClassifier:
-    return GBTClassifier(
-        labelCol=label, weightCol="class_weight", seed=seed, **{**CLASSIFIER_PARAMS, **params}
-    )
-
-
-def regressor(label: str, seed: int = 42, **params) -> GBTRegressor:
-    return GBTRegressor(labelCol=label, seed=seed, **{**REGRESSOR_PARAMS, **params})
-
-
-def count_regressor(label: str, seed: int = 42, **params) -> GBTRegressor:
-    return GBTRegressor(labelCol=label, seed=seed, **{**COUNT_PARAMS, **params})
-
-
 def poisson(label: str, max_iter: int = 2000) -> GeneralizedLinearRegression:
     return GeneralizedLinearRegression(
         family="poisson", link="log", labelCol=label, regParam=POISSON_REG, maxIter=max_iter
@@ -90,89 +75,166 @@ def prediction(model: Model, df: DataFrame, out: str, lowest: float | None = Non
     return model.transform(df).withColumn(out, value).drop("features", "prediction")
 
 
-def fit_risk_models(
-    train: DataFrame, features: list[str], seed: int = 42, trees: int | None = None
-) -> tuple[PipelineModel, PipelineModel]:
-    """Desert classifier and distance regressor on imputed training rows."""
-    extra = {} if trees is None else {"maxIter": trees}
-    known = train.where(F.col("is_desert").isNotNull() & F.col("nearest_miles").isNotNull())
-    weighted = materialize(
-        class_weights(known, "is_desert").withColumn("is_desert", F.col("is_desert").cast("double"))
-    )
-    clf = assembled(features, classifier("is_desert", seed, **extra)).fit(weighted)
-    reg = assembled(features, regressor("nearest_miles", seed, **extra)).fit(weighted)
-    return clf, reg
+@dataclass(frozen=True)
+class Boosted:
+    """Trained models: what they are, their trees, and the features they split on."""
+
+    specs: list[Spec]
+    trees: DataFrame
+    features: list[str]
 
+    def margins(self, df: DataFrame, out: dict[str, str], wanted: Column | None = None) -> DataFrame:
+        """Adds the margin of each model in ``out``; nulls count as the model's medians."""
+        fills = {s.model: s.fills for s in self.specs}
+        return boosting.with_margins(df, self.trees, self.features, fills, out, wanted)
 
-def score_zones(
-    df: DataFrame, clf: PipelineModel, reg: PipelineModel
-) -> DataFrame:
-    """All rows with risk, predicted distance and residual (actual - predicted)."""
-    scored = prediction(reg, probability(clf, df, "predicted_prob"), "predicted_miles")
-    return scored.withColumn("residual_miles", F.col("nearest_miles") - F.col("predicted_miles"))
+    def importance(self, model: str, top: int = 20) -> DataFrame:
+        """feature, importance (mean gain of its splits), splits, total_gain; largest first, unused ones at 0."""
+        own = boosting.gains(self.trees).where(F.col("model") == model)
+        known = self.trees.sparkSession.createDataFrame([(f,) for f in self.features], "feature string")
+        each = known.join(own, "feature", "left").select(
+            "feature",
+            F.coalesce("gain", F.lit(0.0)).alias("importance"),
+            F.coalesce("splits", F.lit(0)).alias("splits"),
+            F.coalesce("total_gain", F.lit(0.0)).alias("total_gain"),
+        )
+        return each.orderBy(F.col("importance").desc(), "feature").limit(top)
 
 
-@dataclass(frozen=True)
-class Fold:
-    """Models fitted on the inner train rows of a spatial holdout, with those rows' medians."""
+def save_model(model: Boosted, path: str) -> None:
+    """The trees as a table, and one row that says what they belong to."""
+    about = json.dumps({"specs": [asdict(s) for s in model.specs], "features": model.features})
+    model.trees.write.mode("overwrite").parquet(f"{path}/trees")
+    model.trees.sparkSession.createDataFrame([(about,)], "about string").coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
 
-    validation: DataFrame
-    test: DataFrame
-    fitted: DataFrame
-    features: list[str]
-    classifier: PipelineModel
-    regressor: PipelineModel
 
-    def score(self, rows: DataFrame) -> DataFrame:
-        return score_zones(impute(rows, self.fitted, self.features), self.classifier, self.regressor)
+def load_model(spark: SparkSession, path: str) -> Boosted:
+    about = json.loads(spark.read.parquet(f"{path}/about").first()["about"])
+    specs = [Spec(**{**s, "params": Params(**s["params"]), "fills": tuple(s["fills"])}) for s in about["specs"]]
+    return Boosted(specs, spark.read.schema(boosting.TREES).parquet(f"{path}/trees"), about["features"])
+
 
+def risk(margin: str) -> Column:
+    """The probability that a logistic margin stands for."""
+    return 1 / (1 + F.exp(-F.col(margin)))
 
-def fit_fold(
+
+def fold_members(df: DataFrame, held_out: DataFrame, folds: int, key: str = "zone", label: str = "is_desert") -> DataFrame:
+    """(key, label, fold, split): each row's part in each fold, all folds at once.
+
+    held_out has fold and state.  Rows of held-out states are test; of the others a share of each
+    class is validation, the rest train.
+    """
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold")
+    marks = held_out.select(F.col("fold").cast("int").alias("fold"), "state").distinct().withColumn("_held", F.lit(True))
+    scoped = materialize(lookup_small(df.select(key, "state", label, numbers), marks, ["fold", "state"]))
+    inside = stratified_split(scoped.where(F.col("_held").isNull()), key, label, within=["fold"])
+    test = scoped.where(F.col("_held")).withColumn("split", F.lit("test"))
+    return inside.unionByName(test).select(key, label, "fold", "split")
+
+
+@dataclass(frozen=True)
+class Folds:
+    """Models fitted on the inner train rows of spatial holdouts, and every row's part in each fold."""
+
+    members: DataFrame
+    models: Boosted
+
+    def score(self, rows: DataFrame, fold: int = 0) -> DataFrame:
+        """All rows with a fold's risk, predicted distance and residual (actual - predicted)."""
+        out = self.models.margins(rows, {f"classifier {fold}": "predicted_prob", f"regressor {fold}": "predicted_miles"})
+        out = out.withColumn("predicted_prob", risk("predicted_prob"))
+        return out.withColumn("residual_miles", F.col("nearest_miles") - F.col("predicted_miles"))
+
+    def test_scores(self, rows: DataFrame, key: str = "zone", label: str = "is_desert") -> DataFrame:
+        """(key, label, fold, predicted_prob): each fold's held-out rows by that fold's classifier."""
+        names = {s.model: f"_margin {s.fold}" for s in self.models.specs if s.objective == "logistic"}
+        test = self.members.where(F.col("split") == "test")
+        asked = test.groupBy(key).agg(F.collect_list(F.concat(F.lit("classifier "), F.col("fold").cast("string"))).alias("_asked"))
+        scored = self.models.margins(rows.join(asked, key), names, F.col("_asked"))
+        folds = sorted(s.fold for s in self.models.specs if s.objective == "logistic")
+        each = F.posexplode(F.array(*[F.col(f"_margin {f}") for f in folds])).alias("fold", "_margin")
+        long = scored.select(key, label, each).where(F.col("_margin").isNotNull())
+        return long.select(key, label, F.col("fold"), risk("_margin").alias("predicted_prob"))
+
+
+def fit_folds(
     df: DataFrame,
     held_out: DataFrame,
+    seeds: list[int],
     features: list[str],
     key: str = "zone",
-    seed: int = 42,
     trees: int | None = None,
-) -> Fold:
-    """Hold states out, set a share of the other rows aside for validation, fit on the rest."""
-    scoped = spatial_scope(df, held_out)
-    train_side = stratified_split(scoped.where(F.col("scope") == "train_side"), key, "is_desert")
-    inner = materialize(train_side.where(F.col("split") == "train"))
-    fitted = materialize(medians(inner, features))
-    models = fit_risk_models(impute(inner, fitted, features), features, seed, trees)
-    validation = train_side.where(F.col("split") == "validation")
-    return Fold(validation, scoped.where(F.col("scope") == "test"), fitted, features, *models)
-
-
-def fold_test_row(fold: Fold) -> DataFrame:
-    """pr_auc, precision, recall and test_rows on the held-out states, one row."""
-    y, p = "is_desert", "predicted_prob"
-    test = materialize(fold.score(fold.test))
-    counts = ev.confusion(test, y, p, RISK_THRESHOLD)
-    return counts.select(
-        "precision",
-        "recall",
-        ev.average_precision(test, y, p).scalar().alias("pr_auc"),
-        test.agg(F.count(F.lit(1))).scalar().alias("test_rows"),
+) -> Folds:
+    """Classifier of deserts and regressor of distance for each fold, all of them trained together.
+
+    held_out has fold (place in ``seeds``) and state.  Medians, class weights and first guesses are those
+    of a fold's inner train rows; rows without a label train nothing.
+    """
+    members = materialize(fold_members(df, held_out, len(seeds), key))
+    inner = members.where(F.col("split") == "train").select(key, "fold")
+    train = materialize(df.select(key, "is_desert", "nearest_miles", *features).join(inner, key))
+    fitted = {(r["fold"], r["column_name"]): r["median"] for r in medians(train, features, ["fold"]).collect()}
+
+    known = F.col("is_desert").isNotNull() & F.col("nearest_miles").isNotNull()
+    one = train.where(known).groupBy("fold").agg(
+        F.count(F.when(F.col("is_desert") == 0, 1)).alias("neg"),
+        F.count(F.when(F.col("is_desert") == 1, 1)).alias("pos"),
+        F.avg(F.col("nearest_miles").cast("double")).alias("miles"),
+    )
+    stats = {r["fold"]: r for r in one.collect()}  # a row for each fold
+    specs = []
+    for fold, seed in enumerate(seeds):
+        fills = tuple(float(fitted.get((fold, c)) or 0.0) for c in features)
+        found = stats.get(fold)
+        weight = found["neg"] / found["pos"] if found and found["pos"] and found["neg"] else 1.0
+        clf, reg = (p if trees is None else replace(p, trees=trees) for p in (CLASSIFIER_PARAMS, REGRESSOR_PARAMS))
+        specs.append(Spec(f"classifier {fold}", fold, "is_desert", "logistic", clf, seed, weight, 0.0, fills))
+        specs.append(Spec(f"regressor {fold}", fold, "nearest_miles", "squared", reg, seed, 1.0, float(found["miles"]) if found else 0.0, fills))
+    used = inner.groupBy(key).agg(F.collect_list("fold").alias("_folds"))
+    rows = df.where(known).select(key, "is_desert", "nearest_miles", *features).join(used, key)
+    grown = boosting.fit(rows, F.col(key), F.col("_folds"), features, specs)
+    return Folds(members, Boosted(specs, grown, features))
+
+
+def stored_folds(df: DataFrame, held_out: DataFrame, seeds: list[int], features: list[str], key: str = "zone", trees: int | None = None) -> Folds:
+    """fit_folds once for the same rows, holdouts, seeds, features and parameters; then from the shared folder."""
+    columns = [key, "state", "is_desert", "nearest_miles", *features]
+    name = registry.registry_key(
+        registry.fingerprint(df.select(*columns)), registry.fingerprint(held_out.select("fold", "state")),
+        seeds, features, trees, asdict(CLASSIFIER_PARAMS), asdict(REGRESSOR_PARAMS), boosting.BINS,
     )
 
+    def save(made: Folds, path: str) -> None:
+        made.members.write.parquet(f"{path}/members")
+        save_model(made.models, f"{path}/models")
 
-def spatial_fold(
-    df: DataFrame,
-    held_out: DataFrame,
-    features: list[str],
-    key: str = "zone",
-    seed: int = 42,
-    trees: int | None = None,
-) -> DataFrame:
-    """Train inside the remaining states, evaluate on a validation share and the held-out states."""
-    fold = fit_fold(df, held_out, features, key, seed, trees)
+    def load(spark: SparkSession, path: str) -> Folds:
+        return Folds(spark.read.parquet(f"{path}/members"), load_model(spark, f"{path}/models"))
 
-    def scored(rows: DataFrame) -> DataFrame:
-        return materialize(fold.score(rows))
+    return registry.stored(df.sparkSession, "folds", name, lambda: fit_folds(df, held_out, seeds, features, key, trees), save, load)
 
-    val, test = scored(fold.validation), scored(fold.test)
+
+def fold_test_rows(folds: Folds, rows: DataFrame) -> DataFrame:
+    """fold, pr_auc, precision, recall and test_rows on each fold's held-out states."""
+    y, p = "is_desert", "predicted_prob"
+    test = materialize(folds.test_scores(rows))
+    counts = test.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        *[F.count(F.when(hit, 1)).alias(n) for n, hit in {
+            "tp": (F.col(y) == 1) & (F.col(p) >= RISK_THRESHOLD), "fp": (F.col(y) != 1) & (F.col(p) >= RISK_THRESHOLD),
+            "fn": (F.col(y) == 1) & (F.col(p) < RISK_THRESHOLD), "tn": (F.col(y) != 1) & (F.col(p) < RISK_THRESHOLD),
+        }.items()],
+    )
+    out = ev.with_ratios(counts).join(ev.average_precision(test, y, p, ["fold"], out="pr_auc"), "fold")
+    return out.select("fold", "precision", "recall", "pr_auc", "test_rows")
+
+
+def spatial_fold(df: DataFrame, folds: Folds, key: str = "zone", fold: int = 0) -> DataFrame:
+    """One row: a fold's models on its validation share and its held-out states."""
+    parts = folds.members.where(F.col("fold") == fold).select(key, "split")
+    scored = materialize(folds.score(df, fold).join(parts, key))
+    val, test = (scored.where(F.col("split") == s) for s in ("validation", "test"))
     y, p = "is_desert", "predicted_prob"
     miles = {"regressor": F.col("predicted_miles")}
     at_half = ev.confusion(test, y, p, RISK_THRESHOLD).select(F.struct("precision", "recall")).scalar()
@@ -214,16 +276,18 @@ def forecast(
     return prediction(model, impute(test, fitted, features), out, lowest=0.0)
 
 
-def feature_importance(model: PipelineModel, features: list[str], df: DataFrame, top: int = 20) -> DataFrame:
-    """feature, importance, largest first: one number per feature."""
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    rows = sorted(zip(features, weights), key=lambda r: (-r[1], r[0]))[:top]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def boosted_forecast(
+    panel: DataFrame, target: str, features: list[str], key: list[str], out: str, params: Params = COUNT_PARAMS, seed: int = 42
+) -> DataFrame:
+    """As :func:`forecast`, by boosted trees; key tells the rows apart that each tree draws."""
+    known = panel.where(F.col(target).isNotNull())
+    fold = F.when(F.col("is_test_period"), F.array().cast("array<int>")).otherwise(F.array(F.lit(0)))
+    rows = materialize(known.withColumn("_label", F.greatest(F.col(target).cast("double"), F.lit(0.0))).withColumn("_folds", fold))
+    train = rows.where(~F.col("is_test_period"))
+    fitted = {r["column_name"]: r["median"] for r in medians(train, features).collect()}
+    fills = tuple(float(fitted.get(c) or 0.0) for c in features)
+    base = train.agg(F.avg("_label")).first()[0] or 0.0
+    spec = Spec("counts", 0, "_label", "squared", params, seed, 1.0, float(base), fills)
+    grown = boosting.fit(rows, F.struct(*key), F.col("_folds"), features, [spec])
+    scored = Boosted([spec], grown, features).margins(rows.where(F.col("is_test_period")), {"counts": out})
+    return scored.withColumn(out, F.greatest(F.col(out), F.lit(0.0))).drop("_label", "_folds")

@@ -37,10 +37,10 @@ def spatial_scope(df: DataFrame, held_out: DataFrame, out: str = "scope") -> Dat
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str, share: float = 0.2, seed: int = 0, out: str = "split"
+    df: DataFrame, key: str, label: str, share: float = 0.2, seed: int = 0, out: str = "split", within: list[str] | None = None
 ) -> DataFrame:
-    """``share`` of each class goes to 'validation', the rest to 'train'."""
-    placed = hash_position(df, key, seed, [label], "_position")
+    """``share`` of each class (of each group of ``within``) goes to 'validation', the rest to 'train'."""
+    placed = hash_position(df, key, seed, [*(within or []), label], "_position")
     taken = F.col("_position") <= F.floor(F.lit(share) * F.col("_group_rows") + 0.5)
     split = placed.withColumn(out, F.when(taken, "validation").otherwise("train"))
     return split.drop("_position", "_group_rows")

@@ -1,4 +1,4 @@
-"""Queries that train MLlib models, with the operators' full tree counts."""
+"""Queries that train models, with the operators' full tree counts."""
 from __future__ import annotations
 
 from functools import reduce
@@ -53,9 +53,18 @@ def _accepted(rows):
     return accepted.orderBy("per_region", "seed").collect()
 
 
-def _fold(rows, accepted):
-    held = splits.holdout_states(rows, accepted["per_region"], accepted["seed"])
-    return m.fit_fold(rows, held, FEATURES, seed=accepted["seed"])
+def _held(rows, folds):
+    """(fold, state) of the states that each (per_region, seed) holds out."""
+    drawn = [
+        splits.holdout_states(rows, per_region, seed).select(F.lit(n).alias("fold"), "state")
+        for n, (per_region, seed) in enumerate(folds)
+    ]
+    return materialize(reduce(DataFrame.unionByName, drawn))
+
+
+def _folds(rows, folds):
+    """Models of all folds (per_region, seed), trained together unless the session has them."""
+    return m.stored_folds(rows, _held(rows, folds), [seed for _, seed in folds], FEATURES)
 
 
 def _primary_seed(rows):
@@ -67,16 +76,15 @@ def _primary_seed(rows):
 def _primary(spark, sf_dir):
     """All rows in scope, and models and medians that know the primary fold's inner train rows only."""
     rows = _modelled(spark, sf_dir)
-    return rows, _fold(rows, _primary_seed(rows))
+    primary = _primary_seed(rows)
+    return rows, _folds(rows, [(primary["per_region"], primary["seed"])])
 
 
 def _fold_members(rows):
     """Each row with its part in the primary fold: train, validation or test."""
-    seed = _primary_seed(rows)
-    held = splits.holdout_states(rows, seed["per_region"], seed["seed"])
-    scoped = materialize(splits.spatial_scope(rows, held))
-    train_side = splits.stratified_split(scoped.where(F.col("scope") == "train_side"), "zone", "is_desert")
-    return train_side.unionByName(scoped.where(F.col("scope") == "test").withColumn("split", F.lit("test")))
+    primary = _primary_seed(rows)
+    members = m.fold_members(rows, _held(rows, [(primary["per_region"], primary["seed"])]), 1)
+    return rows.join(members.select("zone", "split"), "zone")
 
 
 def primary_fold(spark, sf_dir):
@@ -100,32 +108,24 @@ def regressor_scores(spark, sf_dir):
 
 
 def feature_importance(spark, sf_dir):
-    rows, fold = _primary(spark, sf_dir)
-    return m.feature_importance(fold.classifier, FEATURES, rows)
+    """Mean gain of each feature's splits in the primary fold's classifier."""
+    _, folds = _primary(spark, sf_dir)
+    return folds.models.importance("classifier 0")
 
 
 def spatial_fold(spark, sf_dir):
     rows = _modelled(spark, sf_dir)
-    held = splits.holdout_states(rows, 3, HOLDOUT_SEED)
-    return m.spatial_fold(rows, held, FEATURES)
+    return m.spatial_fold(rows, _folds(rows, [(3, HOLDOUT_SEED)]))
 
 
 def trained_seed_results(spark, sf_dir):
-    """Models trained and evaluated anew for each accepted seed of both holdout sizes."""
+    """Models trained and evaluated anew for each accepted seed of both holdout sizes, all in one pass."""
     rows = _modelled(spark, sf_dir)
-    results = [
-        m.fold_test_row(_fold(rows, a)).select(
-            F.lit(a["per_region"]).alias("per_region"),
-            F.lit(a["seed"]).alias("seed"),
-            F.lit(a["test_positives"]).alias("test_positives"),
-            "test_rows",
-            "pr_auc",
-            "precision",
-            "recall",
-        )
-        for a in _accepted(rows)
-    ]
-    return reduce(DataFrame.unionByName, results)
+    accepted = _accepted(rows)
+    folds = _folds(rows, [(a["per_region"], a["seed"]) for a in accepted])
+    known = [(n, a["per_region"], a["seed"], a["test_positives"]) for n, a in enumerate(accepted)]
+    about = spark.createDataFrame(known, "fold int, per_region int, seed int, test_positives long")
+    return about.join(m.fold_test_rows(folds, rows), "fold").drop("fold")
 
 
 def density_baseline(spark, sf_dir):
@@ -159,15 +159,19 @@ def poisson_forecast(spark, sf_dir):
     return _forecast(_panel(spark, sf_dir), m.poisson)
 
 
+def _boosted(rows):
+    out = m.boosted_forecast(rows, TARGET, PANEL_FEATURES, ["zone", "month_start"], "forecast")
+    return out.select("zone", "month_start", "state", "region", TARGET, "forecast")
+
+
 def boosted_forecast(spark, sf_dir):
-    return _forecast(_panel(spark, sf_dir), m.count_regressor)
+    return _boosted(_panel(spark, sf_dir))
 
 
 def _both_forecasts(spark, sf_dir):
     """The forecasts of both models with their names, and a row of errors for each model."""
     rows = _panel(spark, sf_dir)
-    stages = {"poisson": m.poisson, "boosted": m.count_regressor}
-    made = {name: materialize(_forecast(rows, stage)) for name, stage in stages.items()}
+    made = {"poisson": materialize(_forecast(rows, m.poisson)), "boosted": materialize(_boosted(rows))}
     errors = [ev.error_metrics(out, TARGET, {name: F.col("forecast")}) for name, out in made.items()]
     named = [out.withColumn("model_choice", F.lit(name)) for name, out in made.items()]
     return reduce(DataFrame.unionByName, named), materialize(reduce(DataFrame.unionByName, errors))
