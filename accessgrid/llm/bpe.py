@@ -35,17 +35,26 @@ STEPS = 40
 #: Tokens that one decoding query works on.
 DECODE_TOKENS = 2_000_000
 
+# A row carries the place q and the token n that come next, and its pair's key k (rank and place).  Each word's
+# least key says which row takes the next one in; only pairs beside a merge are looked up again.
 _STEP = """
-WITH RECURSIVE r(step, w, p, t, done) AS (
-  SELECT 0::INTEGER, w, p, t, false FROM start
+WITH RECURSIVE r(step, w, p, q, t, n, k, done) AS (
+  SELECT 0::INTEGER, w, p, q, t, n, (m.r::BIGINT << 32) + p, false
+  FROM (SELECT w, p, t, lead(t) OVER o AS n, lead(p) OVER o AS q FROM start WINDOW o AS (PARTITION BY w ORDER BY p)) x
+  LEFT JOIN merges m ON m.a = x.t AND m.b = x.n
   UNION ALL
-  SELECT step + 1, w, p, CASE WHEN k = best THEN (best >> 32)::INTEGER ELSE t END, best IS NULL
-  FROM (SELECT *, lag(k) OVER (PARTITION BY w ORDER BY p) AS before, min(k) OVER whole AS best
-        FROM (SELECT step, w, p, t, (m.r::BIGINT << 32) + p AS k
-              FROM (SELECT step, w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS n FROM r WHERE NOT done AND step < {steps}) x
-              LEFT JOIN merges m ON m.a = x.t AND m.b = x.n)
-        WINDOW whole AS (PARTITION BY w ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
-  WHERE best IS NULL OR before IS NULL OR before <> best)
+  SELECT step + 1, w, p, q, t, n, CASE WHEN ta IS NULL THEN k ELSE (m.r::BIGINT << 32) + p END, gone
+  FROM (SELECT r.step, r.w, r.p, r.k, b.best IS NULL AS gone,
+               CASE WHEN r.p = b.p1 THEN b.q2 ELSE r.q END AS q,
+               CASE WHEN r.p = b.p1 THEN b.id ELSE r.t END AS t,
+               CASE WHEN r.p = b.p1 THEN b.n2 WHEN r.q = b.p1 THEN b.id ELSE r.n END AS n,
+               CASE WHEN r.p = b.p1 THEN b.id WHEN r.q = b.p1 THEN r.t END AS ta
+        FROM r JOIN (
+          SELECT x.w, best, (best >> 32)::INTEGER AS id, (best & 4294967295)::INTEGER AS p1, x.q1, y.q AS q2, y.n AS n2
+          FROM (SELECT w, min(k) AS best, arg_min(q, k) AS q1 FROM r WHERE NOT done AND step < {steps} GROUP BY w) x
+          LEFT JOIN r y ON y.w = x.w AND y.p = x.q1) b ON b.w = r.w
+        WHERE b.q1 IS NULL OR r.p <> b.q1) x
+  LEFT JOIN merges m ON m.a = x.ta AND m.b = x.n)
 SELECT w, p, t, done FROM r WHERE done OR step = {steps} ORDER BY w, p
 """
 
