@@ -1,9 +1,13 @@
-"""Zone-by-month panel with lags, trailing and forward windows.
+"""Zone-by-month panel with lags, trailing and forward sums.
 
-A zone's months are at most the calendar, so per-zone arrays and windows are bounded.
+A zone's months are at most the calendar, so per-zone arrays are bounded.  A zone is one dense array
+indexed by month and the array of its prefix sums; all lags and sums are differences of two places of
+that, and months become rows last.  The work is linear in the months.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,31 +34,130 @@ def monthly_events(stations: DataFrame, zone_key: str = "zip") -> DataFrame:
     )
 
 
+#: Months that are added up one by one; longer prefixes begin with whole blocks.
+PREFIX_BLOCK = 16
+
+
+def _month_number(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day)
+
+
+def _dense(field: str) -> Column:
+    """A zone's events, sorted by month, as one value for each month of the calendar; none counts zero."""
+
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0.0), n.cast("int"))
+
+    def with_gap(event: Column, at: Column) -> Column:
+        following = F.coalesce(F.get("_events", at + 1)["number"], F.col("_lo") + F.col("_n"))
+        return F.concat(F.array(F.coalesce(event[field], F.lit(0.0))), zeros(following - event["number"] - 1))
+
+    first = F.get("_events", F.lit(0))["number"]
+    filled = F.concat(zeros(first - F.col("_lo")), F.flatten(F.transform("_events", with_gap)))
+    return F.when(F.col("_events").isNull(), zeros(F.col("_n"))).otherwise(filled)
+
+
+def month_arrays(zones: DataFrame, monthly: DataFrame) -> DataFrame:
+    """(zone, first, ports, stations): every zone once, with an array of all months between the first and
+    last event of any zone; first is the month that the arrays begin with."""
+    span = monthly.agg(
+        F.struct(
+            F.min("month_start").alias("first"),
+            F.min(_month_number(F.col("month_start"))).alias("lo"),
+            (F.max(_month_number(F.col("month_start"))) - F.min(_month_number(F.col("month_start"))) + 1).alias("n"),
+        )
+    )
+    event = F.struct(_month_number(F.col("month_start")).alias("number"), "new_ports", "new_stations")
+    per_zone = monthly.groupBy("zone").agg(F.array_sort(F.collect_list(event)).alias("_events"))
+    keys = zones.select("zone").where(F.col("zone").isNotNull()).distinct()
+    joined = keys.join(per_zone, "zone", "left").withColumn("_span", span.scalar())
+    known = joined.select("zone", "_events", F.col("_span.first").alias("first"), F.col("_span.lo").alias("_lo"), F.col("_span.n").alias("_n"))
+    return known.select("zone", "first", _dense("new_ports").alias("ports"), _dense("new_stations").alias("stations"))
+
+
 def calendar_panel(zones: DataFrame, monthly: DataFrame) -> DataFrame:
     """Every zone with every month between the first and last event; no event counts zero.
 
-    A zone's events travel as one small map, so only one row per zone is joined; the months
-    are laid out afterwards and stay in the zone's partition for the windows to come.
+    A zone's events travel as one small array, so only one row per zone is joined; the months
+    are laid out afterwards.
     """
-    span = monthly.agg(F.struct(F.min("month_start").alias("lo"), F.max("month_start").alias("hi")))
-    counts = F.struct("month_start", F.struct("new_ports", "new_stations"))
-    per_zone = monthly.groupBy("zone").agg(F.map_from_entries(F.collect_list(counts)).alias("_events"))
-    keys = zones.select("zone").where(F.col("zone").isNotNull()).distinct()
-    laid_out = (
-        keys.join(per_zone, "zone", "left")
-        .withColumn("_span", span.scalar())
-        .select(
-            "zone",
-            "_events",
-            F.explode(F.expr("sequence(_span.lo, _span.hi, interval 1 month)")).alias("month_start"),
-        )
-    )
-    event = F.col("_events")[F.col("month_start")]
+    laid_out = month_arrays(zones, monthly).select("zone", "first", F.posexplode(F.arrays_zip("ports", "stations")).alias("_at", "_month"))
     return laid_out.select(
+        "zone",
+        F.expr("cast(add_months(first, _at) as date)").alias("month_start"),
+        F.col("_month.ports").alias("new_ports"),
+        F.col("_month.stations").alias("new_stations"),
+    )
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once, however often `use` names it.
+
+    Columns of an inner select are no help: the optimizer writes them out wherever they are named,
+    inside of functions over arrays for each element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def prefix_sums(values: Column) -> Column:
+    """The array of sums of the first 0, 1, 2, ... values: whole blocks, and the rest of the last one."""
+
+    def total(array: Column, start: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(array, start + 1, n), F.lit(0.0), lambda a, x: a + x)
+
+    def blocks(array: Column) -> Column:
+        return F.sequence(F.lit(0), F.floor(F.size(array) / PREFIX_BLOCK).cast("int"))
+
+    def with_starts(starts: Column) -> Column:
+        def prefix(i: Column) -> Column:
+            block = F.floor(i / PREFIX_BLOCK).cast("int")
+            return F.get(starts, block) + total(values, block * PREFIX_BLOCK, i % PREFIX_BLOCK)
+
+        return F.transform(F.sequence(F.lit(0), F.size(values)), prefix)
+
+    sums = F.transform(blocks(values), lambda b: total(values, b * PREFIX_BLOCK, F.lit(PREFIX_BLOCK)))
+    starts = _once(sums, lambda s: F.transform(blocks(values), lambda b: total(s, F.lit(0), b)))
+    return _once(starts, with_starts)
+
+
+def temporal_panel(zones: DataFrame, monthly: DataFrame) -> DataFrame:
+    """calendar_panel with the columns of add_temporal_features, by differences of prefix sums."""
+
+    def laid_out(ports: Column, stations: Column, before: Column) -> Column:
+        n = F.size(ports)
+
+        def month(i: Column) -> Column:
+            def sum_of(start: Column, stop: Column) -> Column:
+                return F.get(before, stop) - F.get(before, start)
+
+            return F.struct(
+                i.alias("at"),
+                F.get(ports, i).alias("new_ports"),
+                F.get(stations, i).alias("new_stations"),
+                F.when(i >= 1, F.get(ports, i - 1)).alias("ports_lag_1m"),
+                *[F.when(i >= k, sum_of(i - k, i)).alias(f"ports_lag_{k}m") for k in LAG_MONTHS],
+                F.get(before, i).alias("ports_cum_to_date"),
+                F.when(i + HORIZON < n, sum_of(i + 1, i + HORIZON + 1)).alias("ports_next_12m"),
+                F.when((i >= HORIZON - 1) & (i + 1 < n), sum_of(i + 2 - HORIZON, i + 2)).alias("ports_trailing_incl_next_12m"),
+            )
+
+        return F.transform(F.sequence(F.lit(0), n - 1), month)
+
+    def of_zone(arrays: Column) -> Column:
+        ports, stations = arrays["ports"], arrays["stations"]
+        return _once(prefix_sums(ports), lambda before: laid_out(ports, stations, before))
+
+    known = month_arrays(zones, monthly).where(F.col("first").isNotNull())
+    months = known.select("zone", "first", _once(F.struct("ports", "stations"), of_zone).alias("_months"))
+    rows = months.select("zone", "first", F.explode("_months").alias("_m")).select("zone", "first", "_m.*")
+    start = F.expr("cast(add_months(first, at) as date)")
+    return rows.withColumn("month_start", start).select(
         "zone",
         "month_start",
-        F.coalesce(event["new_ports"], F.lit(0.0)).alias("new_ports"),
-        F.coalesce(event["new_stations"], F.lit(0.0)).alias("new_stations"),
+        *[c for c in rows.columns if c not in ("zone", "first", "at")],
+        F.month("month_start").alias("month_num"),
+        F.year("month_start").alias("year_num"),
+        fx.month_label(F.col("month_start")).alias("year_month"),
     )
 
 

@@ -48,8 +48,7 @@ def covered_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_panel(spark: SparkSession, sf_dir: str, zones_in: DataFrame | None = None) -> DataFrame:
     """Zone-by-month panel with temporal features, of all zones or those given."""
     monthly = materialize(panel.monthly_events(cleaned_stations(spark, sf_dir)))
-    laid_out = panel.calendar_panel(table(spark, sf_dir, "zones") if zones_in is None else zones_in, monthly)
-    return panel.add_temporal_features(laid_out)
+    return panel.temporal_panel(table(spark, sf_dir, "zones") if zones_in is None else zones_in, monthly)
 
 
 def latest_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:

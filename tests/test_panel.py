@@ -1,5 +1,8 @@
 import datetime
+import random
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from accessgrid.operators import panel
@@ -59,3 +62,55 @@ def test_test_period_is_the_last_year(spark):
 def test_latest_per_key(spark):
     got = panel.latest_per_key(months(spark), "zone", "month_start", ["new_ports"]).collect()
     assert {(r["zone"], r["new_ports"]) for r in got} == {("a", 20.0), ("b", 20.0)}
+
+
+def events(spark, n, zones=40, share=0.3, seed=2):
+    """Events of some zones in some months, the first and last month among them."""
+    rng = random.Random(seed)
+    day = lambda m: datetime.date(1800 + m // 12, m % 12 + 1, 1)
+    rows = [(f"z{z}", day(m), float(rng.randint(0, 9)), float(rng.randint(0, 3))) for z in range(zones) for m in range(n) if rng.random() < share]
+    rows += [("z0", day(0), 1.0, 1.0)] * (not any(r[:2] == ("z0", day(0)) for r in rows)) + [("z1", day(n - 1), 1.0, 1.0)] * (not any(r[:2] == ("z1", day(n - 1)) for r in rows))
+    return spark.createDataFrame(rows, "zone string, month_start date, new_ports double, new_stations double")
+
+
+@pytest.mark.parametrize("n", [1, 2, 12, 13, 16, 17, 60])
+def test_arrays_equal_windows(spark, n):
+    monthly = events(spark, n)
+    zones = spark.createDataFrame([(f"z{z}",) for z in range(45)] + [("z1",), (None,)], "zone string")
+    want = panel.add_temporal_features(panel.calendar_panel(zones, monthly))
+    got = panel.temporal_panel(zones, monthly)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert got.count() == 45 * n
+
+
+def test_calendar_by_brute_force(spark):
+    monthly = events(spark, 30)
+    known = {(r["zone"], r["month_start"]): (r["new_ports"], r["new_stations"]) for r in monthly.collect()}
+    got = panel.calendar_panel(monthly.select("zone"), monthly).collect()
+    assert {(r["zone"], r["month_start"]): (r["new_ports"], r["new_stations"]) for r in got} == {
+        (z, datetime.date(1800 + m // 12, m % 12 + 1, 1)): known.get((z, datetime.date(1800 + m // 12, m % 12 + 1, 1)), (0.0, 0.0))
+        for z in {k[0] for k in known} for m in range(30)
+    }
+
+
+def test_no_events_no_months(spark):
+    none = events(spark, 3).limit(0)
+    zones = spark.createDataFrame([("a",)], "zone string")
+    assert panel.calendar_panel(zones, none).count() == 0 and panel.temporal_panel(zones, none).count() == 0
+
+
+def test_no_window_and_time_linear_in_months(spark):
+    zones, took = spark.createDataFrame([(f"z{z}",) for z in range(160)], "zone string"), {}
+    for n in (24, 240, 2400):
+        monthly = events(spark, n, zones=160, share=0.1).cache()
+        monthly.count()
+        out = panel.temporal_panel(zones, monthly)
+        plan = out._jdf.queryExecution().toString()
+        assert "Window" not in plan and "map_from_entries" not in plan
+        out.write.format("noop").mode("overwrite").save()
+        start = time.perf_counter()
+        out.write.format("noop").mode("overwrite").save()
+        took[n] = time.perf_counter() - start
+    # Ten times the months: at most some more than ten times the time.
+    assert took[2400] < 20 * max(took[240], 0.3)
