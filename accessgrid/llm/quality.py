@@ -34,8 +34,12 @@ CHAR_TIMES = 2
 WORD_SPREADS, WORD_MARGIN = 4, 0.25
 #: Own limits are not less.
 MIN_LIMIT = 0.1
-#: Languages with fewer comparable documents have no reference; their documents pass.
+#: Languages with fewer comparable documents have no reference of their own: their documents, like those
+#: without a language, are compared with the reference and the limits of all documents.  The nearest octave
+#: of lengths with as many documents gives the limits.
 MIN_REFERENCE_DOCS = 20
+#: The group of all documents; those of languages begin with another character.
+ALL = "*"
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
@@ -72,7 +76,7 @@ _CLASS = _class_of_bytes()
 _WORDS = {lang: {w: n for n, w in enumerate(words)} for lang, words in COMMON_WORDS.items()}
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_characters long, "
-    "char_hist array<double>, word_hist array<double>"
+    "char_hist array<double>, words_of string, word_hist array<double>"
 )
 
 
@@ -119,7 +123,7 @@ def measure(texts: pa.Array, langs: list[str | None]) -> list[pa.Array]:
     repeats = _repeats(codes, rows, n)
     word_chars = np.bincount(rows, weights=pc.utf8_length(words).to_numpy(zero_copy_only=False), minlength=n).astype(np.int64)
 
-    symbols, dup_lines, chars, char_hist, word_hist = [], [], [], [], []
+    symbols, dup_lines, chars, char_hist, words_of, word_hist = [], [], [], [], [], []
     low, low_rows = ascii_tokens(filled)
     starts = np.searchsorted(low_rows, np.arange(n + 1))
     for at, text in enumerate(filled.to_pylist()):
@@ -130,24 +134,26 @@ def measure(texts: pa.Array, langs: list[str | None]) -> list[pa.Array]:
         char_hist.append((counts / max(1, counts.sum())).tolist())
         lines = [line for line in data.split(b"\n") if line.strip(SPACE)]
         dup_lines.append(len(lines) - len(set(lines)))
-        common = _WORDS.get(langs[at])
-        word_hist.append(None)
-        if common:
-            found = pc.value_counts(low.slice(starts[at], starts[at + 1] - starts[at]).filter(_among(low, starts, at, langs[at])))
-            hist = np.zeros(len(common) + 1)
-            for w, c in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
-                hist[common[w]] = c
-            hist[-1] = n_words[at] - hist.sum()
-            word_hist[-1] = (hist / max(1, n_words[at])).tolist()
+        own = low.slice(starts[at], starts[at + 1] - starts[at])
+        lang = langs[at] if langs[at] in _WORDS else _nearest(own)
+        common = _WORDS[lang]
+        found = pc.value_counts(own.filter(pc.is_in(own, value_set=_SETS[lang])))
+        hist = np.zeros(len(common) + 1)
+        for w, c in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
+            hist[common[w]] = c
+        hist[-1] = n_words[at] - hist.sum()
+        words_of.append(lang)
+        word_hist.append((hist / max(1, n_words[at])).tolist())
     longs = [pa.array(np.asarray(x), pa.int64()) for x in (n_words, word_chars, symbols, dup_lines, repeats, chars)]
-    return [*longs, pa.array(char_hist, pa.list_(pa.float64())), pa.array(word_hist, pa.list_(pa.float64()))]
+    return [*longs, pa.array(char_hist, pa.list_(pa.float64())), pa.array(words_of, pa.string()), pa.array(word_hist, pa.list_(pa.float64()))]
 
 
 _SETS = {lang: pa.array(words) for lang, words in COMMON_WORDS.items()}
 
 
-def _among(low: pa.Array, starts: np.ndarray, at: int, lang: str) -> pa.Array:
-    return pc.is_in(low.slice(starts[at], starts[at + 1] - starts[at]), value_set=_SETS[lang])
+def _nearest(words: pa.Array) -> str:
+    """The language whose common words stand most often among the words; of equals the first."""
+    return max(sorted(_SETS), key=lambda lang: pc.sum(pc.is_in(words, value_set=_SETS[lang])).as_py() or 0)
 
 
 def measures(df: DataFrame, text: str, lang: str, *keep: str) -> DataFrame:
@@ -176,43 +182,65 @@ def divergence(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), _entropy(middle) - (_entropy(p) + _entropy(q)) / 2))
 
 
-def references(measured: DataFrame) -> DataFrame:
-    """(_lang, char_ref, word_ref): mean histograms of all comparable documents of each language."""
+def references(measured: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(group, char_ref) of each language with enough comparable documents and of all documents, and
+    (words_of, word_ref): mean histograms."""
     fits = measured.filter((F.col("n_characters") >= MIN_CHARS_COMPARED) & (F.col("n_words") >= MIN_WORDS_COMPARED))
     width = max(map(len, COMMON_WORDS.values())) + 1
-    means = lambda name, n: F.array(*[F.avg(F.get(name, F.lit(i))) for i in range(n)])
-    found = fits.groupBy("_lang").agg(F.count("*").alias("n"), means("char_hist", len(CLASSES)).alias("char_ref"), means("word_hist", width).alias("word_ref"))
-    return found.filter(F.col("n") >= MIN_REFERENCE_DOCS).select("_lang", "char_ref", F.filter("word_ref", lambda x: x.isNotNull()).alias("word_ref"))
+    sums = lambda name, n: [F.sum(F.get(name, F.lit(i))).alias(f"s{i}") for i in range(n)]
+    means = lambda n: F.array(*[F.col(f"s{i}") / F.col("n") for i in range(n)])
+    chars = written(fits.groupBy("_lang").agg(F.count("*").alias("n"), *sums("char_hist", len(CLASSES))))
+    own = chars.filter(F.col("_lang").isNotNull() & (F.col("n") >= MIN_REFERENCE_DOCS))
+    own = own.select(F.concat(F.lit("="), "_lang").alias("group"), means(len(CLASSES)).alias("char_ref"))
+    every = chars.agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(CLASSES))])
+    every = every.filter("n > 0").select(F.lit(ALL).alias("group"), means(len(CLASSES)).alias("char_ref"))
+    words = fits.groupBy("words_of").agg(F.count("*").alias("n"), *sums("word_hist", width))
+    words = words.select("words_of", F.filter(means(width), lambda x: x.isNotNull()).alias("word_ref"))
+    return own.union(every), words
 
 
 def compared(measured: DataFrame) -> DataFrame:
-    """Adds char_distance and word_distance (null: not compared), and none_distance, that of a text
-    without any common word."""
+    """Adds group, char_distance, all_distance and word_distance (null: too short to be compared), and
+    none_distance, that of a text without any common word.
+
+    Characters are compared with those of the document's group: its language, or all documents where
+    that has few; all_distance is from all documents.  Words are compared with those of the language
+    itself, or of the one whose common words the text has most of.
+    """
     long_enough = (F.col("n_characters") >= MIN_CHARS_COMPARED, F.col("n_words") >= MIN_WORDS_COMPARED)
-    joined = measured.join(references(measured), "_lang", "left")  # a row for each language
-    worded = F.col("word_hist").isNotNull() & (F.size("word_ref") > 1)
+    chars, words = (written(r) for r in references(measured))  # a row for each language
+    every = chars.filter(F.col("group") == ALL).select(F.col("char_ref").alias("all_ref")).scalar()
+    own = chars.select("group", "char_ref")
+    joined = measured.join(own, F.concat(F.lit("="), "_lang") == F.col("group"), "left")
+    joined = joined.withColumns({"group": F.coalesce("group", F.lit(ALL)), "all_ref": every}).join(words, "words_of", "left")
     none = F.transform("word_ref", lambda x, i: F.when(i == F.size("word_ref") - 1, 1.0).otherwise(0.0))
+    worded = long_enough[1] & F.col("word_ref").isNotNull()
     return joined.withColumns({
-        "char_distance": F.when(long_enough[0] & F.col("char_ref").isNotNull(), divergence(F.col("char_hist"), F.col("char_ref"))),
-        "word_distance": F.when(long_enough[1] & worded, divergence(F.col("word_hist"), F.col("word_ref"))),
-        "none_distance": F.when(long_enough[1] & worded, divergence(none, F.col("word_ref"))),
-    }).drop("char_hist", "word_hist", "char_ref", "word_ref")
+        "char_distance": F.when(long_enough[0] & F.col("all_ref").isNotNull(), divergence(F.col("char_hist"), F.coalesce("char_ref", "all_ref"))),
+        "all_distance": F.when(long_enough[0] & F.col("all_ref").isNotNull(), divergence(F.col("char_hist"), F.col("all_ref"))),
+        "word_distance": F.when(worded, divergence(F.col("word_hist"), F.col("word_ref"))),
+        "none_distance": F.when(worded, divergence(none, F.col("word_ref"))),
+    }).drop("char_hist", "word_hist", "char_ref", "word_ref", "all_ref")
 
 
 def own_limits(distances: DataFrame) -> DataFrame:
-    """(_lang, char, word): for each octave of lengths the documents there, their limit and upper quartile.
+    """(group, char, word): for each octave of lengths the documents there, their limit and upper quartile.
+
+    Groups are languages and all documents for characters, and the languages of the words for words.
 
     Documents of one length and distance (copies) count once.  Distances of words fall with the root of
     the length, so they are held as those of the octave's shortest text.  Quartiles are exact to 1/1000,
     over counts of distances: a group has 1,415 of them at most, whatever the data holds.
     """
-    kinds = F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.col(n).alias("n"), F.col(f"{kind}_distance").alias("d")) for kind, n in (("char", "n_characters"), ("word", "n_words"))
-    ])
-    rows = distances.select("_lang", F.explode(kinds).alias("r")).select("_lang", "r.*").filter("d IS NOT NULL").distinct()
+    entry = lambda kind, group, n, d: F.struct(F.lit(kind).alias("kind"), group.alias("group"), F.col(n).alias("n"), F.col(d).alias("d"))
+    own = F.when(F.col("group") != ALL, F.col("group"))
+    kinds = F.array(
+        entry("char", own, "n_characters", "char_distance"), entry("char", F.lit(ALL), "n_characters", "all_distance"), entry("word", F.col("words_of"), "n_words", "word_distance")
+    )
+    rows = distances.select(F.explode(kinds).alias("r")).select("r.*").filter("d IS NOT NULL AND group IS NOT NULL").distinct()
     placed = rows.withColumn("octave", F.floor(F.log2("n")).cast("int"))
     scale = F.when(F.col("kind") == "word", F.sqrt(F.col("n") / F.pow(F.lit(2.0), "octave"))).otherwise(1.0)
-    group = ("_lang", "kind", "octave")
+    group = ("group", "kind", "octave")
     cells = placed.groupBy(*group, F.round(1000 * F.col("d") * scale).alias("cell")).agg(F.count("*").alias("n"))
     found = cells.groupBy(*group).agg(F.sum("n").alias("docs"), F.percentile("cell", [0.5, 0.75], F.col("n")).alias("q"))
     middle, upper = F.col("q")[0] / 1000, F.col("q")[1] / 1000
@@ -220,7 +248,7 @@ def own_limits(distances: DataFrame) -> DataFrame:
     limit = F.when(F.col("kind") == "char", CHAR_TIMES * upper).otherwise(middle + above)
     entry = F.struct("octave", "docs", limit.alias("limit"), upper.alias("upper"))
     own = lambda kind: F.collect_list(F.when(F.col("kind") == kind, entry)).alias(kind)
-    return found.groupBy("_lang").agg(own("char"), own("word"))
+    return found.groupBy("group").agg(own("char"), own("word"))
 
 
 def _entry(entries: str, n: str) -> Column:
@@ -233,11 +261,14 @@ def _entry(entries: str, n: str) -> Column:
 
 
 def limited(distances: DataFrame) -> DataFrame:
-    """Adds char_limit and word_limit from own_limits (null: no reference).
+    """Adds char_limit and word_limit from own_limits (null: nothing to compare).
 
     A limit of words is at most midway from the upper quartile to a text without common words.
     """
-    both = distances.join(own_limits(distances), "_lang", "left")  # a row for each language
+    found = written(own_limits(distances))  # a row for each language
+    chars = found.filter(F.size("char") > 0).select("group", "char")
+    words = found.filter(F.size("word") > 0).select(F.col("group").alias("words_of"), "word")
+    both = distances.join(chars, "group", "left").join(words, "words_of", "left")
     both = both.withColumns({"_c": _entry("char", "n_characters"), "_w": _entry("word", "n_words")})
     # Longer texts than those of the entry have the limit of its longest.
     scale = F.least(F.sqrt(F.col("n_words") / F.pow(F.lit(2.0), F.col("_w.octave"))), F.sqrt(F.lit(2.0)))
@@ -262,10 +293,11 @@ def quality(df: DataFrame, *keep: str, text: str = "text", lang: str = "lang", b
     """keep, the measures, base_failed, both distances and kept, a row for each row of df.
 
     Null and empty texts have no words and fail the base rule.  Documents without a language, or in
-    one with few documents, are judged by the base rule alone.  Repeated rows are judged alike.
+    one with few documents, are held to the reference and limits of all documents.  Repeated rows are
+    judged alike.
     by_own_limits: distances are held to the limits of each language's own distances too; the fixed
     ones alone hardly ever reject by words.
     """
     distances = compared(written(measures(df, text, lang, *keep)))
     made = judged(limited(written(distances)) if by_own_limits else distances)
-    return made.drop("_lang", "n_characters", "none_distance", "char_limit", "word_limit")
+    return made.drop("_lang", "words_of", "group", "n_characters", "all_distance", "none_distance", "char_limit", "word_limit")

@@ -138,3 +138,101 @@ def test_own_limits_of_copies_and_few(spark):
     for df in (one, one.union(copies)):
         rows = q.quality(df, "doc_id", by_own_limits=True).collect()
         assert sum(r["kept"] for r in rows) >= 0.95 * len(rows)
+
+
+def noise(n, seed):
+    return " ".join(f"#{(seed * 7 + k):x}%$&|<>*#@@{k * 7919 + seed:x}==" for k in range(n))
+
+
+def test_documents_without_a_reference_of_their_own(spark):
+    """Noise is rejected whatever its label; the same clean texts are kept without one."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    added = spark.createDataFrame([(-1 - n, noise(300 + n, n), "pt" if n % 2 else None) for n in range(10)], docs.schema)
+    named = {r["doc_id"]: r["kept"] for r in q.quality(docs.union(added), "doc_id", by_own_limits=True).collect()}
+    bare = {r["doc_id"]: r["kept"] for r in q.quality(docs.withColumn("lang", F.lit(None).cast("string")).union(added), "doc_id", by_own_limits=True).collect()}
+    for kept in (named, bare):
+        assert not any(kept[-1 - n] for n in range(10))
+    own = [i for i in named if i >= 0]
+    assert sum(named[i] != bare[i] for i in own) <= 0.03 * len(own)
+
+
+@pytest.mark.parametrize("n", [1, 19])
+def test_tables_of_few_documents_are_compared(spark, n):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = []
+    for lang in q.COMMON_WORDS:
+        fits = docs.filter((F.col("lang") == lang) & (F.length("text") > 1500) & (F.length("text") < 9000))
+        rows += [tuple(r) for r in q.quality(fits, "doc_id", "text", "lang").filter("kept AND char_distance < 0.2").drop("n_words").select("doc_id", "text", "lang").orderBy("doc_id").limit(n).collect()]
+    out = q.quality(spark.createDataFrame(rows, docs.schema), "doc_id", by_own_limits=True).collect()
+    assert len(out) == 4 * n and all(r["char_distance"] is not None and r["word_distance"] is not None for r in out)
+    assert sum(r["kept"] for r in out) >= 0.9 * len(out)
+
+
+def quantile(cells, p):
+    cells = sorted(cells)
+    at = p * (len(cells) - 1)
+    low = math.floor(at)
+    return cells[low] + (cells[min(low + 1, len(cells) - 1)] - cells[low]) * (at - low)
+
+
+def test_verdict_by_brute_force(spark):
+    """References, distances, limits and kept from the texts, one document at a time."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.union(spark.createDataFrame([(-1, noise(200, 1), "pt"), (-2, "", None), (-3, None, "en")], docs.schema))
+    rows = {r["doc_id"]: (r["text"] or "", r["lang"]) for r in docs.collect()}
+    mean = lambda hs: [sum(x) / len(hs) for x in zip(*hs)]
+    words = {i: base(t)[0] for i, (t, _) in rows.items()}
+    fits = [i for i, (t, _) in rows.items() if len(t) >= q.MIN_CHARS_COMPARED and words[i] >= q.MIN_WORDS_COMPARED]
+    nearest = lambda t: max(sorted(q.COMMON_WORDS), key=lambda lang: 1 - words_histogram(t, lang)[-1] if t.split() else 0)
+    lang_of = {i: lang if lang in q.COMMON_WORDS else nearest(t) for i, (t, lang) in rows.items()}
+    hist = {i: histogram(t) if t else None for i, (t, _) in rows.items()}
+    every = mean([hist[i] for i in fits])
+    own = {}
+    for lang in {lang for _, lang in rows.values()}:
+        its = [hist[i] for i in fits if rows[i][1] == lang]
+        if lang is not None and len(its) >= q.MIN_REFERENCE_DOCS:
+            own[lang] = mean(its)
+    word_ref = {lang: mean([words_histogram(rows[i][0], lang) for i in fits if lang_of[i] == lang]) for lang in q.COMMON_WORDS}
+    group, char, whole, word, none = {}, {}, {}, {}, {}
+    for i, (t, lang) in rows.items():
+        group[i] = lang if lang in own else None
+        if len(t) >= q.MIN_CHARS_COMPARED:
+            char[i], whole[i] = jsd(hist[i], own.get(lang, every)), jsd(hist[i], every)
+        if words[i] >= q.MIN_WORDS_COMPARED:
+            ref = word_ref[lang_of[i]]
+            word[i], none[i] = jsd(words_histogram(t, lang_of[i]), ref), jsd([0.0] * (len(ref) - 1) + [1.0], ref)
+
+    def entries(members, n, d, scaled):
+        cells = {}
+        for size, dist in {(n[i], round(d[i], 12)) for i in members if i in d}:
+            o = math.floor(math.log2(size))
+            cells.setdefault(o, []).append(round(1000 * dist * (math.sqrt(size / 2.0**o) if scaled else 1)))
+        out = []
+        for o, xs in cells.items():
+            mid, up = quantile(xs, 0.5) / 1000, quantile(xs, 0.75) / 1000
+            limit = mid + max(q.WORD_SPREADS * (up - mid), q.WORD_MARGIN * mid) if scaled else q.CHAR_TIMES * up
+            out.append((o, len(xs), limit, up))
+        return out
+
+    chars = {i: len(t) for i, (t, _) in rows.items()}
+    char_limits = {g: entries([i for i in rows if group[i] == g], chars, char, False) for g in own}
+    char_limits[None] = entries(rows, chars, whole, False)
+    word_limits = {lang: entries([i for i in rows if lang_of[i] == lang], words, word, True) for lang in q.COMMON_WORDS}
+    pick = lambda es, n: min(es, key=lambda e: (-min(e[1], q.MIN_REFERENCE_DOCS), abs(e[0] - math.floor(math.log2(max(n, 1)))), e[0]))
+    wrong = []
+    for r in q.quality(docs, "doc_id", by_own_limits=True).collect():
+        i = r["doc_id"]
+        ok, edge = not base(rows[i][0])[5], False
+        if i in char:
+            limit = min(q.MAX_CHAR_DISTANCE, max(q.MIN_LIMIT, pick(char_limits[group[i]], chars[i])[2]))
+            ok, edge = ok and char[i] <= limit, edge or abs(char[i] - limit) < 2e-3
+        if i in word:
+            o, _, limit, up = pick(word_limits[lang_of[i]], words[i])
+            scale = min(math.sqrt(words[i] / 2.0**o), math.sqrt(2))
+            up /= scale
+            limit = min([limit / scale] + [(up + none[i]) / 2] * (none[i] > up))
+            limit = min(q.MAX_WORD_DISTANCE, max(q.MIN_LIMIT, limit))
+            ok, edge = ok and word[i] <= limit, edge or abs(word[i] - limit) < 2e-3
+        if r["kept"] != ok and not edge:  # halves may be rounded either way
+            wrong.append((i, r["kept"], ok))
+    assert wrong == []
