@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from accessgrid.storage import shared_folder
 
 
+#: Column for the key of a row beside all columns of its table; not a name that a table has.
+KEY = "key of this step"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accessgrid.llm.common import ascii_tokens, freeing, row_key, written
+from accessgrid.llm.common import KEY, ascii_tokens, freeing, row_key, written
 from accessgrid.llm.components import components
 
 WORDS = 5
@@ -312,6 +312,6 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text: str = "text", **ho
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of df that are the first of their class, each once, with all columns of df."""
-    first = classes(df, id_col, text, **how).select(F.col("class_key").alias("_key")).distinct()
-    keyed = df.withColumn("_key", row_key(id_col, text))
-    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*df.columns)
+    first = classes(df, id_col, text, **how).select(F.col("class_key").alias(KEY)).distinct()
+    keyed = df.withColumn(KEY, row_key(id_col, text))
+    return keyed.join(first, KEY, "left_semi").dropDuplicates([KEY]).select(*df.columns)

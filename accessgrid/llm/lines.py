@@ -20,7 +20,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accessgrid.llm.common import row_key, written
+from accessgrid.llm.common import KEY, row_key, written
 from accessgrid.llm.components import components
 
 SHINGLE = 12
@@ -31,6 +31,8 @@ POINTS = BANDS * ROWS
 #: Numbers of 64 bits in the filters that thin rows out before a join; rows that pass by chance go in
 #: the join, so this is a matter of speed alone.
 FILTER_WORDS = 1 << 18
+#: Not a name that a table has.
+_REMOVED = "removed lines of this step"
 
 
 def _points() -> list[int]:
@@ -153,8 +155,8 @@ def without_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     """df with the removed lines taken out of its texts; all rows and columns stay.  A text whose
     lines all stand elsewhere is empty; null stays null."""
     _, gone = duplicates(df, id_col, text, threshold)
-    found = gone.select(F.col("key").alias("_key"), F.col("removed").alias("_removed"))
-    met = df.withColumn("_key", row_key(id_col, text)).join(found, "_key", "left")
-    kept = F.filter(F.split(F.col(text), "\n"), lambda line, n: ~F.array_contains("_removed", n))
-    new = F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    found = gone.select(F.col("key").alias(KEY), F.col("removed").alias(_REMOVED))
+    met = df.withColumn(KEY, row_key(id_col, text)).join(found, KEY, "left")
+    kept = F.filter(F.split(F.col(text), "\n"), lambda line, n: ~F.array_contains(_REMOVED, n))
+    new = F.when(F.col(_REMOVED).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return met.withColumn(text, new).select(*df.columns)

@@ -12,12 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accessgrid.llm.common import row_key, written
+from accessgrid.llm.common import KEY, numbered, row_key, written
 
 LEVELS = ["domain", "language", "source"]
 #: Documents of a leaf whose order is settled in one group, on average.
 RANGE_ROWS = 4096
 
+#: Not names that a table has.
+_ROWS, _DRAWS, _EPOCH, _PLACE, _FIRST = (f"{x} of this step" for x in ("rows", "draws", "epoch", "place", "first"))
+
 
 def n_tokens(text: str) -> Column:
     """Words `[^\\x20\\x09-\\x0D]+`; null texts have none."""
@@ -101,29 +104,40 @@ def mix(
     total = supply.agg(F.sum("tokens")).first()[0] or 0
     leaf = written(budgets(supply, F.lit(float(total) * budget_share), epochs, weights))
     leaf = leaf.withColumn("whole", F.expr("cast(leaf_budget div tokens AS int)"))
-    met = docs.join(leaf, LEVELS)
-    # The last epoch's order: a hash, cut in ranges so that no leaf is sorted as one.
-    met = met.withColumn("order", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "whole", "key"), 11))
+    # Each epoch has an order of its own: a hash, cut in ranges so that no leaf is sorted as one.
+    met = docs.join(leaf, LEVELS).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
+    met = met.withColumn("order", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "epoch", "key"), 11))
     ranges = F.ceil(F.col("docs") / RANGE_ROWS)
     spot = F.col("order").cast("double") / F.lit(float(2**53))
     met = written(met.withColumn("range", F.floor(spot * ranges).cast("int")))
-    sums = met.groupBy(*LEVELS, "range").agg(F.sum("n_tokens").alias("in_range"))
-    past = Window.partitionBy(*LEVELS).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = met.groupBy(*LEVELS, "epoch", "range").agg(F.sum("n_tokens").alias("in_range"))
+    past = Window.partitionBy(*LEVELS, "epoch").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("in_range").over(past), F.lit(0))).drop("in_range")
-    inside = Window.partitionBy(*LEVELS, "range").orderBy("order", "key").rowsBetween(Window.unboundedPreceding, -1)
-    placed = met.join(sums, [*LEVELS, "range"])
-    placed = placed.withColumn("at", F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    last = F.col("whole") * F.col("tokens") + F.col("at") < F.col("leaf_budget")
-    # Whole epochs hold every document; their own order has no part in what is drawn.
-    drawn = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole")))).filter((F.col("epoch") < F.col("whole")) | last)
-    start = F.when(F.col("epoch") == F.col("whole"), F.col("epoch") * F.col("tokens") + F.col("at"))
-    return drawn.select("key", F.col("key.id").alias(id_col), *LEVELS, "n_tokens", "epoch", start.alias("start"), "leaf_budget")
+    inside = Window.partitionBy(*LEVELS, "epoch", "range").orderBy("order", "key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = met.join(sums, [*LEVELS, "epoch", "range"])
+    at = F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
+    drawn = placed.withColumn("start", F.col("epoch") * F.col("tokens") + at).filter(F.col("start") < F.col("leaf_budget"))
+    return drawn.select("key", F.col("key.id").alias(id_col), *LEVELS, "n_tokens", "epoch", "start", "leaf_budget")
 
 
 def mixed(df: DataFrame, weights: dict[str, dict[str, float]], id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of df as drawn, with all columns of df; a document drawn twice is there twice."""
-    drawn = mix(df, weights, id_col=id_col, text=text, **how)
-    # Repeated rows share a key: their draws are divided among them.
-    counts = drawn.groupBy("key", "epoch").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("times"))
-    met = df.withColumn("_key", row_key(id_col, text)).join(counts.withColumnRenamed("key", "_key"), "_key")
-    return met.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*df.columns)
+    """The rows of df as drawn, with all columns of df; a document drawn twice is there twice.
+
+    Rows that agree in id and text are drawn each: where an epoch takes some of them only, as many of
+    them stay.
+    """
+    drawn = mix(df, weights, id_col=id_col, text=text, **how).select(F.col("key").alias(KEY), "epoch")
+    keyed = df.withColumn(KEY, row_key(id_col, text))
+    repeated = keyed.groupBy(KEY).agg(F.count("*").alias(_ROWS)).filter(F.col(_ROWS) > 1)
+    draws = drawn.groupBy(KEY, "epoch").agg(F.count("*").alias("n")).groupBy(KEY).agg(F.collect_list("n").alias(_DRAWS))
+    draws = written(draws.join(repeated, KEY, "left"))
+    partly = F.exists(_DRAWS, lambda n: n < F.coalesce(_ROWS, F.lit(1)))
+    whole = keyed.join(draws.filter(~partly), KEY).withColumn(_EPOCH, F.explode(_DRAWS)).select(*df.columns)
+    some = draws.filter(partly).drop(_ROWS)
+    if some.isEmpty():
+        return whole
+    # Copies by number, which ranges give, so that no key is gathered.
+    copies = numbered(keyed.join(some.select(KEY), KEY, "left_semi"), [F.col(KEY)], _PLACE)
+    first = copies.groupBy(KEY).agg(F.min(_PLACE).alias(_FIRST))
+    met = copies.join(first.join(some, KEY), KEY).withColumn(_EPOCH, F.explode(_DRAWS))
+    return whole.union(met.filter(F.col(_PLACE) - F.col(_FIRST) < F.col(_EPOCH)).select(*df.columns))

@@ -66,12 +66,13 @@ def test_budgets_and_prefixes(docs, share):
             ids = Counter(r["doc_id"] for r in own)
             assert max(ids.values()) <= 2
             last = budget // tokens
-            part = sorted((r["start"], r["n_tokens"]) for r in own if r["epoch"] == last)
-            at = last * tokens
-            for start, n in part:  # a prefix without gaps
+            part = sorted((r["start"], r["n_tokens"]) for r in own)
+            at = 0
+            for start, n in part:  # whole epochs, and a prefix of the last one, without gaps
                 assert start == at
                 at += n
             assert at >= budget and all(s < budget for s, _ in part)
+            assert all(r["epoch"] == r["start"] // tokens for r in own) and max(r["epoch"] for r in own) <= last
             assert drawn >= budget
         else:
             assert budget < 1.001
@@ -85,6 +86,28 @@ def test_order_is_seeded(docs):
     assert pick(1) == pick(1) != pick(2)
 
 
+def test_each_epoch_has_an_order_of_its_own(docs):
+    rows = mx.mix(docs, {}, budget_share=2.0, domain=F.lit("d")).collect()
+    orders = [[r["doc_id"] for r in sorted(rows, key=lambda r: r["start"]) if r["epoch"] == e] for e in (0, 1)]
+    assert sorted(orders[0]) == sorted(orders[1]) and orders[0] != orders[1]
+
+
+def test_repeated_rows_are_drawn_as_often_as_the_budget_says(spark):
+    rows = spark.createDataFrame([(1, "a b", "en", "s", "x"), (1, "a b", "en", "s", "y")] * 3 + [(2, "c d", "en", "s", "z")], "doc_id int, text string, lang string, source string, extra string")
+    for share in (0.2, 0.5, 0.9, 1.4, 2.0):
+        drawn = Counter(r["doc_id"] for r in mx.mix(rows, {}, budget_share=share).collect())
+        out = mx.mixed(rows, {}, budget_share=share).collect()
+        assert Counter(r["doc_id"] for r in out) == drawn, share
+        assert max(Counter(map(tuple, out)).values()) <= 3 * 2  # three rows of a kind, two epochs
+
+
+def test_clashing_names(docs):
+    clash = docs.withColumns({n: F.lit(n) for n in ("_key", "times", "_time", "one", "rows", "Place")})
+    out = mx.mixed(clash, WEIGHTS)
+    assert out.columns == clash.columns
+    assert {tuple(r[len(docs.columns):]) for r in out.collect()} == {("_key", "times", "_time", "one", "rows", "Place")}
+
+
 def test_small_ranges_give_the_same_order(docs, monkeypatch):
     key = lambda: sorted((r["doc_id"], r["epoch"], r["start"]) for r in mx.mix(docs, {}, budget_share=0.4, domain=F.lit("d")).collect())
     one = key()

@@ -73,3 +73,14 @@ def test_odd_rows(spark, odd, none, sf_dir):
 def test_registered():
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+
+
+def test_clashing_names_stay(spark, docs, sf_dir):
+    """Extra columns with names that steps once used go through all stages but the last as they are."""
+    names = ("_key", "_removed", "times", "part", "_Time")
+    out = docs.withColumns({n: F.lit(n) for n in names})
+    columns = out.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, out, sf_dir)
+        assert out.columns == columns
+    assert out.select(*names).distinct().collect() == [names]
