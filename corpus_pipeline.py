@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from accessgrid.llm import bpe, jaccard_join, lines, mixing, quality, ready
-from accessgrid.llm.common import row_key, written
+from accessgrid.llm.common import KEY, row_key, written
 from accessgrid.llm.queries import VOCABULARY, WEIGHTS
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,9 +20,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go; rows that agree in id and text are judged alike."""
     ready(spark)
-    keyed = docs.withColumn("_key", row_key("doc_id", "text"))
-    kept = quality.quality(keyed, "_key", by_own_limits=True).filter("kept").select("_key").distinct()
-    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
+    keyed = docs.withColumn(KEY, row_key("doc_id", "text"))
+    kept = quality.quality(keyed, KEY, by_own_limits=True).filter("kept").select(KEY).distinct()
+    return keyed.join(kept, KEY, "left_semi").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +37,19 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by target weights; one drawn in two epochs is there twice."""
+    """Documents drawn by target weights; one drawn in two epochs is there twice.
+
+    Null languages and sources are leaves of their own, texts without words are not drawn.  Repeated
+    rows are drawn each.
+    """
     return mixing.mixed(docs, WEIGHTS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts, and digests of the ids and of the decoded text."""
+    """Token counts, and digests of the ids and of the decoded text; null is the empty text.
+
+    A row for each row, repeated ones too.
+    """
     ready(spark)
     return bpe.round_trip(docs, "text", public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, "doc_id")
 
