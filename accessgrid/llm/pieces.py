@@ -47,8 +47,10 @@ class Pieces:
         self.words = _WORDS if any("\n" in name for name in names) else _WORDS_AND_LINES
         one, two = self.model.encode(["\n", "\n\n"])
         self.mark = one[: 2 * len(one) - len(two)]
-        self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, bytes] = {}
+        #: Decimal ids with commas, and the text that they stand for.
+        self.table: dict[str, tuple[bytes, bytes]] = {}
+        names = [f"{i}".encode() for i in range(self.model.vocab_size())]
+        self.decimal = names.__getitem__
 
     def cut(self, text: str | None) -> list[str]:
         """Marked words of a text, marks as spaces; the first has the mark that the model puts before all."""
@@ -61,44 +63,43 @@ class Pieces:
         coded = self.model.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
         return [self.mark if w == " " else ids if w[0] == " " else ids[len(self.mark) :] for w, ids in zip(words, coded)]
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Fill the table with what it lacks: decimal ids with commas, and the text that they stand for."""
-        if len(self.ids) > CACHE:
-            self.ids.clear()
-            self.texts.clear()
-        new = list(set(words).difference(self.ids))
+    def learn(self, words: Iterable[str]) -> list[str]:
+        """Fill the table with what it lacks.  Gives back the words that are too long to be kept after this."""
+        if len(self.table) > CACHE:
+            self.table.clear()
+        new = list(set(words).difference(self.table))
         if not new:
-            return
+            return []
         coded = self.segment(new)
-        self.ids.update(zip(new, (",".join(map(str, ids)).encode() for ids in coded)))
         # Decoding takes the first mark away.
         back = self.model.decode(coded, num_threads=1)
-        self.texts.update((w, (" " + t if w[0] == " " else t).encode()) for w, t in zip(new, back))
+        self.table.update((w, (b",".join(map(self.decimal, ids)), (" " + t if w[0] == " " else t).encode())) for w, ids, t in zip(new, coded, back))
+        return [w for w in new if len(w) > LONGEST_KEPT]
 
-    def forget_long(self, words: Iterable[str]) -> None:
-        for word in {w for w in words if len(w) > LONGEST_KEPT}:
-            del self.ids[word], self.texts[word]
+    def forget(self, words: list[str]) -> None:
+        for word in words:
+            del self.table[word]
 
     def digests(self, texts: list[str | None]) -> tuple[list[int], list[str], list[str]]:
         """Number of ids, digest of the ids and digest of the decoded text, for each text."""
         cut = [self.cut(t) for t in texts]
-        self.learn(chain.from_iterable(cut))
+        long = self.learn(chain.from_iterable(cut))
         counts, coded, decoded = [], [], []
-        ids, back = self.ids.__getitem__, self.texts.__getitem__
         for words in cut:
-            joined = b",".join(map(ids, words))
+            found = list(map(self.table.__getitem__, words))
+            joined = b",".join([ids for ids, _ in found])
             counts.append(joined.count(b",") + 1 if joined else 0)
             coded.append(hashlib.sha256(joined).hexdigest())
-            decoded.append(hashlib.sha256(b"".join(map(back, words))[1:]).hexdigest())
-        self.forget_long(chain.from_iterable(cut))
+            decoded.append(hashlib.sha256(b"".join([text for _, text in found])[1:]).hexdigest())
+        self.forget(long)
         return counts, coded, decoded
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.cut(t) for t in texts]
-        self.learn(chain.from_iterable(cut))
-        made = [b",".join(map(self.ids.__getitem__, words)) for words in cut]
-        self.forget_long(chain.from_iterable(cut))
+        long = self.learn(chain.from_iterable(cut))
+        made = [b",".join([self.table[w][0] for w in words]) for words in cut]
+        self.forget(long)
         return [np.array(x.split(b","), "<u4").tobytes() if x else b"" for x in made]
 
     def decode(self, ids: list[bytes | None]) -> list[str]:
