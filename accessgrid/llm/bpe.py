@@ -4,7 +4,7 @@ A piece's bytes are token-position rows.  Each step joins neighbours with the me
 word's pair of least rank, the leftmost of equals, and contracts it; the last step's rows are the ids.
 Decoding joins ids with the vocabulary and aggregates the bytes in order.
 
-Texts are cut by the tokenizer's pattern in Python; a piece is encoded once for each worker as long as
+Texts are cut by the tokenizer's pattern in Python; a piece is encoded once for each task as long as
 its cache holds, so the recursion sees distinct pieces only.  All texts are processed whole.
 """
 from __future__ import annotations
@@ -120,6 +120,11 @@ class Bpe:
         self.known: dict[str, bytes] = {}
         self.spans: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empty the caches: a worker outlives its task, and would hold them through stages without it."""
+        self.known.clear()
+        self.spans.clear()
+
     def _recurse(self, pieces: list[bytes], step: str) -> list[bytes]:
         """Ids of pieces as little-endian bytes."""
         lengths = np.array([len(p) for p in pieces])
@@ -259,6 +264,7 @@ def _mapped(df: DataFrame, source: str, target: str, call, path: str, pattern: s
                 cut = batch.slice(part.start, part.stop - part.start)
                 made = pa.array(call(bpe, values[part]), pa.binary())
                 yield pa.RecordBatch.from_arrays([*cut.columns, made], names=[*cut.schema.names, target])
+        bpe.forget()
 
     return kept.mapInArrow(freeing(run), schema)
 
@@ -281,5 +287,6 @@ def round_trip(df: DataFrame, text: str, path: str, pattern: str, *keep: str) ->
                 made = [pa.array([len(x) // 4 for x in ids], pa.int64()), *map(pa.array, digests)]
                 cut = batch.slice(part.start, part.stop - part.start)
                 yield pa.RecordBatch.from_arrays([*cut.columns[: len(keep)], *made], names=schema.names)
+        bpe.forget()
 
     return df.select(*keep, F.col(text).alias("_text")).mapInArrow(freeing(run), schema)
