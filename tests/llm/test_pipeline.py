@@ -3,6 +3,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -80,7 +81,7 @@ def test_clashing_names_stay(spark, docs, sf_dir):
     names = ("_key", "_removed", "times", "part", "_Time")
     out = docs.withColumns({n: F.lit(n) for n in names})
     columns = out.columns
-    for _, stage in corpus_pipeline.STAGES[:-1]:
+    for _, stage in pipe.STAGES[:-1]:
         out = stage(spark, out, sf_dir)
         assert out.columns == columns
     assert out.select(*names).distinct().collect() == [names]
