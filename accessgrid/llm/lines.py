@@ -1,11 +1,11 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations alone.
 
-A line is the set of its character shingles: SHINGLE characters from each word's start on, and from
-every character of runs that are longer, so that all characters are covered, of text without spaces
-too.  For each of POINTS random points the shingle nearest to it (smallest XOR distance of hashes) is
-kept: two sets agree there with the probability of their Jaccard similarity.  Points form bands;
-lines that agree in a whole band are candidates, their similarity is computed exactly on whole
-shingle sets, and of each component of similar lines the first in order of documents stays.
+A line is the set of its character shingles: SHINGLE characters from every character on; a line of
+fewer characters is one shingle.  For each of POINTS random points the shingle nearest to it (smallest
+XOR distance of hashes) is kept: two sets agree there with the probability of their Jaccard
+similarity.  Points form bands; lines that agree in a whole band are candidates, their similarity is
+computed exactly on whole shingle sets, and of each component of similar lines the first in order of
+documents stays.
 
 Equal lines are one from the start.  The lines of a band's bucket are compared with its centre, the
 most frequent of them; those that are similar to it are linked, so pairs among them need no look.
@@ -28,6 +28,9 @@ THRESHOLD = 0.8
 #: 8 bands of 3 points: a pair at 0.8 is met with a probability of 0.997.
 BANDS, ROWS = 8, 3
 POINTS = BANDS * ROWS
+#: Characters of a line whose shingles are cut from one chunk: a place is found by counting from the
+#: chunk's start, so long lines take time in proportion to their length.
+CHUNK = 32
 #: Numbers of 64 bits in the filters that thin rows out before a join; rows that pass by chance go in
 #: the join, so this is a matter of speed alone.
 FILTER_WORDS = 1 << 18
@@ -45,8 +48,25 @@ def normal(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\r\x0b\x0c"))
 
 
-def shingles(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{1,{SHINGLE}}}))(?:\S{{1,{SHINGLE}}}(?!\S)|\S)\s*"), F.lit(1))
+def _chunks(line: Column) -> Column:
+    """Pieces of a line with the shingles of CHUNK places each: every place of the line is in one."""
+    several = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE},{CHUNK + SHINGLE - 1}}})).{{1,{CHUNK}}}"), F.lit(1))
+    return F.when(F.char_length(line) < CHUNK + SHINGLE, F.array(line)).otherwise(several)
+
+
+def _places(chunk: Column) -> Column:
+    return F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length(chunk) - (SHINGLE - 1)))
+
+
+def _shingle(chunk: Column, place: Column) -> Column:
+    """Hash of the shingle that begins there."""
+    return F.xxhash64(F.substr(chunk, place, F.lit(SHINGLE)))
+
+
+def shingle_set(line: Column) -> Column:
+    """Hashes of a line's distinct shingles."""
+    each = F.transform(_chunks(line), lambda chunk: F.transform(_places(chunk), lambda place: _shingle(chunk, place)))
+    return F.array_distinct(F.flatten(each))
 
 
 def _lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -69,7 +89,9 @@ def thinned(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
 
 def signatures(lines: DataFrame) -> DataFrame:
     """(h, bands): a hash for each band; one row for each distinct line."""
-    each = lines.select("h", F.explode(shingles(F.col("line"))).alias("s")).select("h", F.xxhash64("s").alias("s"))
+    chunks = lines.select("h", F.explode(_chunks(F.col("line"))).alias("chunk"))
+    each = chunks.select("h", "chunk", F.explode(_places(F.col("chunk"))).alias("place"))
+    each = each.select("h", _shingle(F.col("chunk"), F.col("place")).alias("s"))
     nearest = [F.min(F.col("s").bitwiseXOR(F.lit(p))).alias(f"p{n}") for n, p in enumerate(_points())]
     found = each.groupBy("h").agg(*nearest)
     bands = [F.xxhash64(F.lit(b), *[F.col(f"p{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
@@ -99,8 +121,7 @@ def linked(lines: DataFrame, counts: DataFrame, threshold: float = THRESHOLD) ->
     pairs = members.join(centre, "bucket").select("u", F.col("h").alias("v")).filter("u <> v").distinct()
     needed = written(members.select("h").distinct())
     sets = thinned(lines.select("h", "line"), "h", needed, "h").join(needed, "h").dropDuplicates(["h"])
-    sets = sets.select("h", F.array_sort(F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s)))).alias("shingles"))
-    sets = written(sets)
+    sets = written(sets.select("h", shingle_set(F.col("line")).alias("shingles")))
     own, common = F.array_except("sv", "su"), F.size(F.array_intersect("sv", "su"))
     stars = _with_sets(pairs, sets).select(F.col("u").alias("centre"), "v", own.alias("own"), common.alias("common"), _alike(threshold).alias("alike"))
     stars = written(stars)

@@ -1,12 +1,13 @@
-import re
 from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from accessgrid.llm import lines as ln
 
-SHINGLE = re.compile(rf"(?s)(?=(.{{1,{ln.SHINGLE}}}))(?:\S{{1,{ln.SHINGLE}}}(?!\S)|\S)\s*", re.ASCII)
+def shingles(line):
+    return {line[n : n + ln.SHINGLE] for n in range(max(1, len(line) - ln.SHINGLE + 1))}
 
 
 def normal(line):
@@ -16,7 +17,7 @@ def normal(line):
 def brute(rows, threshold=0.8):
     """[(id, text)] -> sorted (id, n_lines, removed)."""
     places = [(i is None, i or 0, t, n, normal(x)) for i, t in set(rows) if t is not None for n, x in enumerate(t.split("\n")) if normal(x)]
-    sets = {p[-1]: frozenset(SHINGLE.findall(p[-1])) for p in places}
+    sets = {p[-1]: frozenset(shingles(p[-1])) for p in places}
     names = sorted(sets)
     number = {x: n for n, x in enumerate(names)}
     parent = list(range(len(names)))
@@ -99,6 +100,22 @@ def test_text_without_spaces(spark):
     assert got == {1: 0, 2: 1, 3: 0}
 
 
+def test_chunks_hold_every_shingle(spark):
+    """Around the ends of chunks, with characters of one to four bytes."""
+    draw = np.random.default_rng(5)
+    lengths = [1, 11, 12, 13, *range(ln.CHUNK + ln.SHINGLE - 3, ln.CHUNK + ln.SHINGLE + 3), *range(70, 100), 5000]
+    rows = [(n, "".join(draw.choice(list("ab \réあ😀"), n))) for n in lengths]
+    df = spark.createDataFrame(rows, "n long, line string").withColumn("h", F.col("n"))
+    one = lambda c: F.xxhash64(c)
+    want = spark.createDataFrame([(n, x) for n, t in rows for x in shingles(t)], "n long, s string").groupBy("n").agg(F.array_sort(F.collect_set(one("s"))).alias("want"))
+    got = df.select("n", F.array_sort(ln.shingle_set(F.col("line"))).alias("got"))
+    assert got.join(want, "n").filter("got = want").count() == len(rows)
+    alone = df.select("h", F.explode(ln.shingle_set(F.col("line"))).alias("s")).groupBy("h")
+    nearest = alone.agg(*[F.min(F.col("s").bitwiseXOR(F.lit(p))).alias(f"p{n}") for n, p in enumerate(ln._points()[: ln.ROWS])])
+    first = nearest.select("h", F.xxhash64(F.lit(0), *[f"p{n}" for n in range(ln.ROWS)]).alias("band"))
+    assert ln.signatures(df).select("h", F.col("bands")[0].alias("band")).exceptAll(first).count() == 0
+
+
 def test_no_python_in_the_plan(docs):
     plan = ln.line_dedup(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
