@@ -6,7 +6,8 @@ With the lengths known, a distance bound is a score bound: score = (|q|^2 + |x|^
 A pair whose bound cannot reach the query's k-th best score is dropped, first on few wide segments,
 then on narrow ones; the rest is scored exactly, on integers.
 
-Queries and candidates travel as blocks of bounded size that meet by an equi-join on the block's
+Rows that agree in id and vector are one with a count, so a block holds distinct rows however often one
+is repeated; they come apart again among the k best.  Queries and candidates travel as blocks of bounded size that meet by an equi-join on the block's
 number; each meeting gives k rows for each query at most.
 """
 from __future__ import annotations
@@ -67,15 +68,15 @@ def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.clip(q.astype(object) @ x.T.astype(object), -(2**63), 2**63 - 1).astype(np.int64)
 
 
-def block_top_k(q_id, q, floor, x_id, x, k: int) -> list[tuple[int, int, int]]:
-    """(query row, candidate id, score): the k best of this block for each query, fewer where the
-    others cannot reach `floor`, the k-th best score known before."""
-    best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(q)
+def block_top_k(q_id, q, floor, x_id, x, x_n, k: int) -> list[tuple[int, int, int, int]]:
+    """(query row, candidate id, score, times it occurs): the k best of this block for each query,
+    fewer where the others cannot reach `floor`, the k-th best score known before."""
+    best: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 3] * len(q)
     floor = floor.astype(float).copy()
     qf = q.astype(float)
     q_len, q_stats = (qf * qf).sum(1), [segment_statistics(qf, s) for s in LEVELS]
     for start in range(0, len(x), CHUNK):
-        ids, part = x_id[start : start + CHUNK], x[start : start + CHUNK]
+        ids, part, times = (a[start : start + CHUNK] for a in (x_id, x, x_n))
         pf = part.astype(float)
         p_len = (pf * pf).sum(1)
         alive = ids[None, :] != q_id[:, None]
@@ -93,16 +94,17 @@ def block_top_k(q_id, q, floor, x_id, x, k: int) -> list[tuple[int, int, int]]:
             keep = alive[row]
             s = np.concatenate([best[row][0], exact[at, keep]])
             i = np.concatenate([best[row][1], ids[keep]])
+            n = np.concatenate([best[row][2], times[keep]])
             order = np.lexsort((i, -s))[:k]
-            best[row] = (s[order], i[order])
+            best[row] = (s[order], i[order], n[order])
             if len(order) == k:
                 floor[row] = max(floor[row], float(s[order[-1]]))
-    return [(row, int(i), int(s)) for row, (ss, ii) in enumerate(best) for s, i in zip(ss, ii)]
+    return [(row, int(i), int(s), int(n)) for row, found in enumerate(best) for s, i, n in zip(*found)]
 
 
 def _search(pairs: DataFrame, k: int) -> DataFrame:
     """pairs: one row for each meeting of a query block with a candidate block."""
-    schema = "query_id long, query_hash long, vec_id long, score long"
+    schema = "query_id long, query_hash long, vec_id long, score long, times long"
 
     def run(batches):
         for batch in batches:
@@ -112,10 +114,10 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
                 ids, hashes, floor = (get(c).to_numpy() for c in ("q_id", "q_hash", "q_floor"))
                 q = get("q_v").flatten().to_numpy().reshape(-1, dim)
                 x = get("x_v").flatten().to_numpy().reshape(-1, dim)
-                found = block_top_k(ids, q, floor, get("x_id").to_numpy(), x, k)
+                found = block_top_k(ids, q, floor, get("x_id").to_numpy(), x, get("x_times").to_numpy(), k)
                 at = np.array([f[0] for f in found], np.int64)
-                cols = [ids[at], hashes[at], np.array([f[1] for f in found], np.int64), np.array([f[2] for f in found], np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "query_hash", "vec_id", "score"])
+                cols = [ids[at], hashes[at], *[np.array([f[n] for f in found], np.int64) for n in (1, 2, 3)]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "query_hash", "vec_id", "score", "times"])
 
     return pairs.mapInArrow(freeing(run), schema)
 
@@ -127,7 +129,7 @@ def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec: str
     in id and vector are one query; repeated candidates count as often as they occur.  An empty table
     gives no rows; further columns are not read.
     """
-    kept = written(quantised(vectors.withColumn("_is_query", queries), id_col, vec))
+    kept = written(quantised(vectors, id_col, vec).groupBy("id", "v").agg(F.count("*").alias("times")))
     asked = quantised(vectors.filter(queries), id_col, vec).distinct().withColumn("hash", F.xxhash64("v"))
     asked = written(asked.withColumn("floor", F.lit(float("-inf"))))
     n, n_asked = kept.count(), asked.count()
@@ -147,5 +149,6 @@ def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec: str
     primed = asked.join(known, ["id", "hash"], "left").withColumn("floor", F.coalesce("f", "floor")).select(asked.columns)
     found = met(written(primed), blocks)
     best = Window.partitionBy(*key).orderBy(F.desc("score"), "vec_id")
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("times", F.lit(k)).cast("int"))))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

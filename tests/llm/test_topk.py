@@ -38,6 +38,23 @@ def test_odd_vectors(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_a_third_of_all_rows_is_one_row(spark, monkeypatch):
+    """Blocks keep their size, and the row takes as many ranks as it has copies."""
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 50)
+    rng = np.random.default_rng(3)
+    rows = [(n, [float(x) for x in rng.normal(size=5)]) for n in range(400)]
+    rows += [(7, [4.0, -4.0, 4.0, -4.0, 4.0])] * 200 + [(8, [4.0, -4.0, 4.0, -4.0, 3.0])] * 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS times", "2 AS copy")
+    assert rows_of(topk.top_k(df, F.col("vec_id") % 100 == 0)) == brute(rows, lambda i: i % 100 == 0)
+    assert rows_of(topk.top_k(df, F.col("vec_id") == 7)) == brute(rows, lambda i: i == 7)
+    sizes = []
+    whole = topk._blocks
+    monkeypatch.setattr(topk, "_blocks", lambda *a: sizes.append(whole(*a)) or sizes[-1])
+    topk.top_k(df, F.col("vec_id") % 100 == 0)
+    largest = [b.agg(F.max(F.size("x_id"))).first()[0] for b in sizes if "x_id" in b.columns]
+    assert largest and max(largest) < 100
+
+
 def test_bounds_never_exceed_the_distance():
     rng = np.random.default_rng(2)
     a, b = rng.normal(size=(40, 19)), rng.normal(size=(50, 19))
