@@ -174,3 +174,30 @@ def test_copies_and_unusable_rows_leave_the_grid_as_it_is(spark, monkeypatch, se
     else:
         own = found[1].query("q_lat == 35 and q_lon == -90")
         assert own["k"].tolist() == list(range(1000, 1009))
+
+
+def test_long_segments_leave_few_candidates(spark):
+    """Long lines that cross everywhere: what a finest cell keeps does not depend on their length."""
+    n = 1500
+    lat, lon = RNG.uniform(30, 42, (2, n)), RNG.uniform(-110, -90, (2, n))
+    columns = {f"{a}{i + 1}": v[i] for a, v in (("lat", lat), ("lon", lon)) for i in range(2)}
+    segments = spark.createDataFrame(pd.DataFrame(columns))
+    rows = frame(spark, RNG.uniform(30, 42, n), RNG.uniform(-110, -90, n))
+    taken, search = [], s._segments_by_cell
+
+    def noted(queries, ends, grid):
+        near = s.materialize(search(queries, ends, grid))
+        taken.append(near.agg(F.sum(F.size("near")) / F.countDistinct("q0", "q1")).first()[0])
+        return near
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(s, "_segments_by_cell", noted)
+        got = values(s.nearest_segment(rows, segments), "line_miles").line_miles
+    assert taken[0] < n / 5
+    x, y = s.albers_xy(F.col("lat"), F.col("lon"))
+    p = values(rows.select("k", x.alias("x"), y.alias("y")), "x", "y")
+    ends = [segments.select(*[c.alias(n) for c, n in zip(s.albers_xy(F.col(f"lat{i}"), F.col(f"lon{i}")), "xy")]).toPandas() for i in (1, 2)]
+    (px, py), (ax, ay), (bx, by) = ((e.x.to_numpy(), e.y.to_numpy()) for e in (p, *ends))
+    t = np.clip(((px[:, None] - ax) * (bx - ax) + (py[:, None] - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2), 0, 1)
+    want = np.hypot(px[:, None] - ax - t * (bx - ax), py[:, None] - ay - t * (by - ay)).min(1) / 1609.344
+    assert np.allclose(got, want, atol=1e-6)
