@@ -114,3 +114,15 @@ def test_no_window_and_time_linear_in_months(spark):
         took[n] = time.perf_counter() - start
     # Ten times the months: at most some more than ten times the time.
     assert took[2400] < 20 * max(took[240], 0.3)
+
+
+def test_few_bytes_of_zones_become_months_in_all_partitions(spark):
+    """Zones without events, too, and sums of events in the first and last month."""
+    monthly = events(spark, 30, share=0.1)
+    zones = spark.createDataFrame([(f"z{z}",) for z in range(200)], "zone string")
+    out = panel.temporal_panel(zones, monthly)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = out.withColumn("part", F.spark_partition_id())
+    assert rows.agg(F.countDistinct("part")).first()[0] == parts
+    want = panel.add_temporal_features(panel.calendar_panel(zones, monthly))
+    assert out.exceptAll(want).count() == 0 and out.count() == 200 * 30
