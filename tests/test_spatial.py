@@ -201,3 +201,28 @@ def test_long_segments_leave_few_candidates(spark):
     t = np.clip(((px[:, None] - ax) * (bx - ax) + (py[:, None] - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2), 0, 1)
     want = np.hypot(px[:, None] - ax - t * (bx - ax), py[:, None] - ay - t * (by - ay)).min(1) / 1609.344
     assert np.allclose(got, want, atol=1e-6)
+
+
+def test_radius_totals_meet_in_few_cell_pairs(spark, monkeypatch):
+    """Pairs of cells are far fewer than points; a weight that is no number stays with those it covers."""
+    n = 3000
+    lat, lon = RNG.uniform(30, 42, (2, n)), RNG.uniform(-110, -90, (2, n))
+    need, weight = RNG.uniform(0, 60, n), RNG.integers(0, 50, n).astype(float)
+    weight[7] = np.inf
+    pairs, states = [], s._radius_states
+
+    def noted(*args):
+        covers, leaf = states(*args)
+        pairs.append(leaf.count())
+        return covers, leaf
+
+    monkeypatch.setattr(s, "_radius_states", noted)
+    centers, points = frame(spark, lat[0], lon[0]), frame(spark, lat[1], lon[1], w=weight, near=need)
+    totals = s.coverage_totals(centers, points, 40.0, ["w"], "near")
+    got = values(s.attach_by_place(centers, totals), "covered", "w", "distance_reduction").fillna(0)
+    d = miles(lat[0][:, None], lon[0][:, None], lat[1][None], lon[1][None])
+    within = d <= 40.0
+    assert 0 < pairs[0] < n / 2
+    assert got.covered.astype(int).tolist() == within.sum(1).tolist()
+    assert np.allclose(got.w, [weight[row].sum() for row in within])
+    assert np.allclose(got.distance_reduction, (np.maximum(need - d, 0) * within).sum(1), atol=1e-6)
