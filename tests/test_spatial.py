@@ -226,3 +226,16 @@ def test_radius_totals_meet_in_few_cell_pairs(spark, monkeypatch):
     assert got.covered.astype(int).tolist() == within.sum(1).tolist()
     assert np.allclose(got.w, [weight[row].sum() for row in within])
     assert np.allclose(got.distance_reduction, (np.maximum(need - d, 0) * within).sum(1), atol=1e-6)
+
+
+def test_pairs_are_not_shuffled(spark):
+    """After the last exchange of cells' arrays come only explodes and the filter; copies and null ids stay."""
+    lats, lons = np.append(RNG.uniform(39, 41, 700), [40.0] * 20), np.append(RNG.uniform(-101, -99, 700), [-100.0] * 20)
+    points = frame(spark, lats, lons)
+    centers = points.where("k >= 690").withColumn("c", F.when(F.col("k") != 700, F.col("k"))).drop("k")
+    out = s.pairs_within(centers, points, 25.0, "c", "k")
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan[: plan.index("Generate")]
+    want = miles(lats[690:, None], lons[690:, None], lats[None], lons[None]) <= 25
+    got = out.toPandas()
+    assert len(got) == want.sum() and got.c.isna().sum() == want[10].sum()
