@@ -18,6 +18,7 @@ from itertools import chain
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -114,7 +115,7 @@ class Bpe:
         self.db.register("given", merge_table(ranks))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         order = sorted(ranks.items(), key=lambda x: x[1])
-        self.db.register("given", pa.table({"id": pa.array([r for _, r in order], pa.int32()), "hex": [t.hex() for t, _ in order]}))
+        self.db.register("given", pa.table({"id": pa.array([r for _, r in order], pa.int32()), "token": pa.array([t for t, _ in order], pa.binary())}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.db.unregister("given")
         self.known: dict[str, bytes] = {}
@@ -190,7 +191,10 @@ class Bpe:
         return [b"".join(map(get, doc)) for doc in spans]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
-        """Bytes of each id sequence, by a join with the vocabulary and an ordered aggregate."""
+        """Bytes of each id sequence, by a join with the vocabulary in the order of the ids.
+
+        The joined column's bytes stand one after the other, so a text is a slice of them.
+        """
         out: list[bytes] = [b""] * len(ids)
         start = 0
         while start < len(ids):
@@ -199,16 +203,18 @@ class Bpe:
                 size += len(ids[end]) // 4
                 end += 1
             flat = np.frombuffer(b"".join(ids[start:end]), "<u4").astype(np.int32)
-            doc = np.repeat(np.arange(start, end, dtype=np.int32), [len(x) // 4 for x in ids[start:end]])
-            self.db.register("coded", pa.table({"doc": doc, "pos": np.arange(len(flat), dtype=np.int32), "id": flat}))
-            rows = self.db.sql(
-                "SELECT doc, string_agg(hex, '' ORDER BY pos) AS hex, count(*) AS n FROM coded JOIN vocabulary USING (id) GROUP BY doc"
-            ).to_arrow_table()
+            self.db.register("coded", pa.table({"pos": np.arange(len(flat), dtype=np.int32), "id": flat}))
+            rows = self.db.sql("SELECT pos, token FROM coded JOIN vocabulary USING (id)").to_arrow_table()
             self.db.unregister("coded")
-            if sum(rows.column(2).to_pylist()) != len(flat):
+            if len(rows) != len(flat):
                 raise ValueError("an id is not in the vocabulary")
-            for at, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-                out[at] = bytes.fromhex(text)
+            if (np.diff(rows.column("pos").to_numpy()) < 0).any():
+                rows = rows.sort_by("pos")
+            tokens = pa.concat_arrays(rows.column("token").chunks) if len(rows) else pa.array([], pa.binary())
+            ends = np.cumsum(pc.binary_length(tokens).to_numpy(), dtype=np.int64)
+            whole = pc.binary_join(pa.ListArray.from_arrays([0, len(tokens)], tokens), b"")[0].as_py()
+            cuts = np.append(0, ends)[np.cumsum([0, *(len(x) // 4 for x in ids[start:end])])].tolist()
+            out[start:end] = [whole[a:b] for a, b in zip(cuts, cuts[1:])]
             start = end
         return out
 

@@ -84,3 +84,23 @@ def test_columns(odd, known):
 def test_unknown_id(own):
     with pytest.raises(ValueError):
         own.decode([np.array([50_300], "<u4").tobytes()])
+
+
+def test_decoding_joins_in_order_without_aggregates(own, monkeypatch):
+    """Texts without ids among others, several queries, and rows that the join returns in any order."""
+    queries = []
+
+    class Backwards:
+        def __init__(self, db):
+            self.register, self.unregister, self.sql_of = db.register, db.unregister, db.sql
+
+        def sql(self, text):
+            queries.append(text)
+            return self.sql_of(text + " ORDER BY pos DESC")
+
+    texts = ["", "one two\nthree", "", "Žluťoučký kůň 1234", "x" * 300, ""]
+    ids = own.encode(texts)
+    monkeypatch.setattr(own, "db", Backwards(own.db))
+    monkeypatch.setattr(bpe, "DECODE_TOKENS", 10)
+    assert own.decode(ids) == [t.encode() for t in texts]
+    assert len(queries) > 2 and not any("agg" in q for q in queries)
