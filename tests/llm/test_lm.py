@@ -108,3 +108,23 @@ def test_held_out_texts_are_likelier_than_under_single_words(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     row = lm.score(docs, ~lm.held_out("doc_id")).filter("NOT training").agg(F.sum("base_score"), F.sum("score")).first()
     assert row[1] > row[0]
+
+
+def test_rarer_sequences_meet_the_texts_in_a_join(docs, odd, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD_SHARE", 2e-3)
+    monkeypatch.setattr(lm, "PART_PLACES", 5000)
+    check(docs, monkeypatch, 0.0)
+    check(odd, monkeypatch, 0.0)
+    monkeypatch.setattr(lm, "HEAD_SHARE", 2.0)
+    check(odd, monkeypatch, 0.0)
+
+
+def test_what_stands_twice_is_in_the_tree_whatever_else_there_is(spark):
+    rng = np.random.default_rng(1)
+    rows = [(7 * n + 1_000_000, " ".join(f"w{x}" for x in rng.integers(0, 5000, 10_000))) for n in range(70)]
+    rows += [(i, "alpha beta gamma delta epsilon zeta") for i in (0, 2)]  # neither is held out
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert not any(is_held(i) for i in (0, 2))
+    for row in lm.score(df, ~lm.held_out("doc_id")).filter("doc_id <= 2").collect():
+        assert row["train_tokens"] > 550_000
+        assert row["score"] > row["base_score"] + 5
