@@ -126,3 +126,18 @@ def test_few_bytes_of_zones_become_months_in_all_partitions(spark):
     assert rows.agg(F.countDistinct("part")).first()[0] == parts
     want = panel.add_temporal_features(panel.calendar_panel(zones, monthly))
     assert out.exceptAll(want).count() == 0 and out.count() == 200 * 30
+
+
+def test_month_labels_are_made_once_for_a_month(spark):
+    monthly = months(spark, 20, ("a",)).where("month_start != '2000-03-01'")
+    out = panel.temporal_panel(spark.createDataFrame([("a",), ("b",), ("b",)], "zone string"), monthly)
+    want = [datetime.date(2000 + i // 12, i % 12 + 1, 1) for i in range(20)]
+    for zone in "ab":
+        assert [tuple(r) for r in out.where(F.col("zone") == zone).orderBy("month_start").select("month_start", "month_num", "year_num", "year_month").collect()] == [
+            (d, d.month, d.year, f"{d:%Y-%m}") for d in want
+        ]
+    # What follows the explode, for each row, formats and adds no dates.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    rows = plan[: plan.index("Generate explode")]
+    main = "\n".join(line for line in rows.split("\n") if "scalar-subquery" in line)
+    assert main and "date_format" not in main and "add_months" not in main
