@@ -239,3 +239,32 @@ def test_pairs_are_not_shuffled(spark):
     want = miles(lats[690:, None], lons[690:, None], lats[None], lons[None]) <= 25
     got = out.toPandas()
     assert len(got) == want.sum() and got.c.isna().sum() == want[10].sum()
+
+
+def test_groups_of_center_cells_grow_with_the_points():
+    def levels(points):
+        return s._group_levels(s.Grid((0.0, 0.0, 0.0), 1.0, 9, points), 8)
+
+    assert levels(0) == levels(10_000) == 0
+    assert levels(16 * s.BLOCK_POINTS * s.GROUPS_PER_PARTITION * 8) == 2
+    assert levels(10**8) == s.GROUP_LEVELS
+
+
+def test_totals_of_grouped_cells_match_brute_force(spark, monkeypatch):
+    """Each group takes a cell's points once; a cell that is whole for one center cell and cut for another counts once."""
+    monkeypatch.setattr(s, "BLOCK_POINTS", 8)
+    monkeypatch.setattr(s, "GROUPS_PER_PARTITION", 1)
+    n = 3000
+    lat, lon = RNG.uniform(38, 40, (2, n)), RNG.uniform(-100, -97, (2, n))
+    need, weight = RNG.uniform(0, 60, n), RNG.integers(0, 50, n).astype(float)
+    levels, chosen = [], s._group_levels
+    monkeypatch.setattr(s, "_group_levels", lambda *args: levels.append(chosen(*args)) or levels[-1])
+    centers, points = frame(spark, lat[0], lon[0]), frame(spark, lat[1], lon[1], w=weight, near=need)
+    totals = s.coverage_totals(centers, points, 25.0, ["w"], "near")
+    got = values(s.attach_by_place(centers, totals), "covered", "w", "distance_reduction").fillna(0)
+    d = miles(lat[0][:, None], lon[0][:, None], lat[1][None], lon[1][None])
+    within = d <= 25.0
+    assert levels[0] >= 2
+    assert got.covered.astype(int).tolist() == within.sum(1).tolist()
+    assert np.allclose(got.w, (within * weight).sum(1))
+    assert np.allclose(got.distance_reduction, (np.maximum(need - d, 0) * within).sum(1), atol=1e-6)
