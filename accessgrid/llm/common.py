@@ -29,10 +29,10 @@ def scratch(spark: SparkSession) -> str:
     return path
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, **options: str) -> DataFrame:
     """The frame as a table in the shared folder: lineage ends here, the rows outlive executors."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
