@@ -128,3 +128,28 @@ def test_what_stands_twice_is_in_the_tree_whatever_else_there_is(spark):
     for row in lm.score(df, ~lm.held_out("doc_id")).filter("doc_id <= 2").collect():
         assert row["train_tokens"] > 550_000
         assert row["score"] > row["base_score"] + 5
+
+
+def test_words_without_a_number(docs, odd, monkeypatch):
+    monkeypatch.setattr(lm, "MAX_WORDS", 300)
+    monkeypatch.setattr(lm, "PART_PLACES", 5000)
+    monkeypatch.setattr(lm, "CUT", 70)
+    check(docs, monkeypatch, 0.0)
+    check(odd, monkeypatch, 0.0)
+
+
+def test_what_is_shuffled_to_count_pairs_is_small(spark):
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    tree, _ = lm.train(texts)
+    cuts = lm.coded(texts.select(F.lit(0).alias("id"), "text", F.lit(True).alias("t")), "id", "text", "t")
+    packed = F.length("keys") + F.length("counts") + F.coalesce(F.length("contexts"), F.lit(0)) + F.coalesce(F.length("suffixes"), F.lit(0))
+    for length, most in ((1, 8), (2, 12)):  # bytes for each place; a key of 8 bytes with context, suffix and number has up to 32
+        assert lm.sequence_blocks(cuts, tree, length).agg(F.sum(packed)).first()[0] < most * tree.total
+
+
+@pytest.mark.parametrize("values", [[], [0], [0, 0, 5], [3, 1 << 63, (1 << 64) - 1], list(range(1000)) * 9])
+def test_packed_values_come_back(values):
+    values = np.array(values, np.uint64)
+    assert lm._unpacked([lm._packed(values), lm._packed(values)], np.uint64).tolist() == [*values, *values]
+    if len(values):
+        assert lm._walked([lm._steps(np.sort(values))]).tolist() == sorted(values)
